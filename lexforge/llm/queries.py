@@ -33,6 +33,18 @@ def op8_token_counts(spark, sf_dir):
     return token_counts(_table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
+def op2_url_filter(spark, sf_dir):
+    from lexforge.llm.url_filter import url_filter
+
+    return url_filter(_table(spark, sf_dir, "pages"))
+
+
+def op9_secret_scan(spark, sf_dir):
+    from lexforge.llm.secrets import secret_scan
+
+    return secret_scan(_table(spark, sf_dir, "documents"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
