@@ -45,6 +45,24 @@ def op9_secret_scan(spark, sf_dir):
     return secret_scan(_table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_join(spark, sf_dir):
+    from lexforge.llm.ngram_join import ngram_join
+
+    return ngram_join(_table(spark, sf_dir, "documents"), 4, 85)
+
+
+def op7_embedding_dedup(spark, sf_dir):
+    from lexforge.llm.embedding_dedup import near_vectors
+
+    return near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+def op10_quality(spark, sf_dir):
+    from lexforge.llm.quality import quality_scores
+
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
