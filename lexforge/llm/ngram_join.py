@@ -130,3 +130,14 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_i
     out = own.join(of_group, ["n", "digest"], "left")
     component = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows that stay when each group of linked documents keeps its smallest id, and each id one row."""
+    groups = ngram_join(docs, k, percent, key, text)
+    stay = groups.filter(F.col(key).isNull() | (F.col(key) == F.col("component_id"))).select(F.col(key).alias("_stay"))
+    rows = docs
+    if docs.groupBy(key).count().filter("count > 1").limit(1).count():
+        best = F.max(F.struct(F.col(text), *(F.col(c) for c in docs.columns if c not in (key, text)))).alias("x")
+        rows = docs.groupBy(key).agg(best).select(key, "x.*").select(*docs.columns)
+    return rows.join(stay, F.col(key).eqNullSafe(F.col("_stay")), "left_semi")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -139,34 +140,55 @@ def held_out(key):
 _models: dict[int, tuple] = {}
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
-    """(key, held_out, score, predicted) of each row; learned from rows that are not held out."""
-    spark = docs.sparkSession
+def trained(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality") -> bytes:
+    """The packed model of the labelled rows that are not held out."""
     taught = labels.filter(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key))).groupBy(F.col(key).alias("k")).agg(F.max(label).alias("y"))
     some = taught.orderBy(F.crc32(F.concat(F.col("k").cast("string"), F.lit("#"))), "k").limit(SAMPLE)
     sample = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(some), "k").groupBy("k", "y").agg(F.max("t").alias("t"))
 
     def train(batches):
-        rows = [(k, t or "", y) for b in batches for k, t, y in zip(*(b.column(c).to_pylist() for c in ("k", "t", "y")), strict=True)]
-        rows.sort(key=lambda r: r[0])
-        order = np.random.default_rng(3).permutation(len(rows))
-        rows = [rows[i] for i in order]
+        rows = sorted((k, t or "", y) for b in batches for k, t, y in zip(*(b.column(c).to_pylist() for c in ("k", "t", "y")), strict=True))
+        rows = [rows[i] for i in np.random.default_rng(3).permutation(len(rows))]
         model = fit([r[1] for r in rows], np.array([r[2] for r in rows], np.int64))
         yield pa.RecordBatch.from_arrays([pa.array([_packed(model)], pa.binary())], ["model"])
 
     got = sample.coalesce(1).mapInArrow(train, "model binary").first()
-    data = bytes(got.model) if got else _packed(fit([], np.zeros(0, np.int64)))
-    shared, mark = spark.sparkContext.broadcast(data), hash(data)
+    return bytes(got.model) if got else _packed(fit([], np.zeros(0, np.int64)))
+
+
+def _model(shared, mark: int) -> tuple[dict, Codes]:
+    """The opened model of a worker, kept from task to task."""
+    if mark not in _models:
+        _models.clear()
+        model = _opened(shared.value)
+        _models[mark] = model, Codes(*model["codes"])
+    return _models[mark]
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, key: str = "doc_id", text: str = "text", label: str = "quality") -> DataFrame:
+    """(key, held_out, score, predicted) of each row; learned from rows that are not held out."""
+    data = trained(docs, labels, key, text, label)
+    shared, mark = docs.sparkSession.sparkContext.broadcast(data), zlib.crc32(data)
 
     def run(batches):
-        if mark not in _models:
-            _models.clear()
-            model = _opened(shared.value)
-            _models[mark] = model, Codes(*model["codes"])
-        model, codes = _models[mark]
+        model, codes = _model(shared, mark)
         for b in batches:
             s = np.array([score(model, codes, t) for t in b.column(2).to_pylist()], np.float64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s), pa.array((s >= threshold).astype(np.int32))], [key, "held_out", "score", "predicted"])
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key), held_out(F.col(key)).alias("held_out"), F.col(text)).mapInArrow(run, f"`{key}` {kind}, held_out boolean, score double, predicted int")
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows whose text scores at least the threshold, all columns as they are."""
+    at = docs.columns.index(text)
+    data = trained(docs, labels, key, text)
+    shared, mark = docs.sparkSession.sparkContext.broadcast(data), zlib.crc32(data)
+
+    def run(batches):
+        model, codes = _model(shared, mark)
+        for b in batches:
+            yield b.filter(pa.array([score(model, codes, t) >= threshold for t in b.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

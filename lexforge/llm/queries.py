@@ -63,6 +63,18 @@ def op10_quality(spark, sf_dir):
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    from lexforge.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op5_decontaminate(spark, sf_dir):
+    from lexforge.llm.decontaminate import leaks
+
+    return leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

@@ -118,3 +118,26 @@ def secret_scan(docs: DataFrame, scope: int = SCOPE, key: str = "doc_id", text:
     got = secret_spans(docs, scope, key, text)
     counts = [F.size(F.filter(F.transform("base", lambda x: x["kind"]), _equals(k))).cast("long").alias(f"n_{k}") for k, *_ in BASE]
     return got.select(key, *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("every")).alias("spans"))
+
+
+def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """All rows and columns, each secret span (of either sort) replaced by mark; n_chars, if there, follows the text."""
+    found = secret_spans(docs, scope, key, text).filter(F.size("every") > 0).filter(F.exists("every", lambda x: x["kind"] != "endpoint"))
+    cuts = F.filter("every", lambda x: x["kind"] != "endpoint")
+    found = found.select(F.col(key).alias("_doc"), F.col("digest").alias("_digest"), cuts.alias("_cuts")).distinct()
+    rows = docs.withColumn("_own", F.sha2(text, 256))
+    met = rows.join(found, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_digest")), "left")
+    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, x):
+        more = F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"))
+
+    def rest(acc):
+        return F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text)))
+
+    clean = F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.aggregate("_cuts", first, step, rest))
+    out = met.withColumn(text, clean)
+    if "n_chars" in docs.columns:
+        out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
