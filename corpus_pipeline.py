@@ -1,8 +1,65 @@
-"""A corpus pipeline over the training-data operators; see STAGES."""
+"""A corpus pipeline over the training-data operators.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir) and returns a frame; it is written as Parquet and read again as the next
+stage's docs. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from lexforge.llm.common import written
+from lexforge.llm.decontaminate import without_leaks
+from lexforge.llm.ngram_join import one_of_each
+from lexforge.llm.packing import pack
+from lexforge.llm.quality import keep_good
+from lexforge.llm.secrets import redacted
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier (operator 10) rejects go."""
+    return keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of the n-gram Jaccard join (operator 6; five words, 0.8) stays."""
+    return one_of_each(docs, 5, 80)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark passage (operator 5) go."""
+    return without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secret spans (operator 9) are replaced by a mark; documents stay."""
+    return redacted(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 4096 tokens (operator 1)."""
+    import public_tokenizers
+
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("secret scans", secrets),
+    ("packing", packing),
+]
+
+#: The classifier, the join and the packing can't be put in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for at, (name, stage) in enumerate(STAGES, 1):
+        docs = stage(spark, docs, sf_dir)
+        if at < len(STAGES):
+            docs = written(docs, name.replace(" ", "_"))
+    return docs
