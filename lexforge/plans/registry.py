@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from lexforge.plans import catalog
+
 
 def queries():
-    return {}
+    return dict(catalog.QUERIES)
 
 
 def oracle_sql():
-    return {}
+    return dict(catalog.SQL)
