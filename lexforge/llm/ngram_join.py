@@ -11,8 +11,9 @@ posting list), and overlap counts of pairs are accumulated. Bounds that follow f
 
 What remains is verified on whole sets. Documents with equal sets are joined by their digest first and count once.
 In a posting list every document is multiplied with the list's first document alone; links found so are merged into
-components, and then all pairs of a list that lie in different components are multiplied. Members of a large group
-of near copies are thus not multiplied all with all, and yet no link between different components is missed.
+components, and then all pairs of a list that lie in different components are multiplied: short lists by a join,
+whose pairs are then verified, long ones by products of blocks of whole sets, which leave a spanning forest of links.
+No pair of different components is missed, and none is given out for each list that it shares.
 
 Results: one row per document id; rows that share an id count as the greatest text. A null text is empty: no
 shingles, linked with nothing. A null id is linked with nothing and has a null component. Other columns are ignored;
@@ -26,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import components, one_row_per_id, written
+from lexforge.llm.common import components, dropped, one_row_per_id, written
 from lexforge.llm.shingles import mixed, shingle_sets
 
-SKETCH_BITS = 18
+SKETCH_BITS, SHORT_LIST, BLOCK = 18, 48, 1024
 
 
 def _batches(batches, k: int):
@@ -74,19 +75,76 @@ def _profiles(rows: DataFrame, k: int, percent: int, sketch: np.ndarray) -> Data
     return rows.mapInArrow(run, "id long, n long, digest long, prefix array<long>")
 
 
-def _verified(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets reach the threshold."""
+def _sets(rows: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, set) of the documents whose id is among ids."""
 
     def run(batches):
-        for ids, sets in _batches(batches, k):
-            yield pa.RecordBatch.from_arrays([ids, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "set"])
+        for some, sets in _batches(batches, k):
+            yield pa.RecordBatch.from_arrays([some, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["id", "set"])
+
+    return rows.join(ids.select("id").distinct(), "id", "left_semi").mapInArrow(run, "id long, set array<long>")
+
 
+def _verified(pairs: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) whose whole sets reach the threshold, written."""
     pairs = written(pairs.select("a", "b"), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    sets = written(rows.join(wanted, "id", "left_semi").mapInArrow(run, "id long, set array<long>"), "sets")
+    sets = written(_sets(rows, pairs.select(F.col("a").alias("id")).union(pairs.select("b")), k), "sets")
     first, second = (sets.select(F.col("id").alias(x), F.col("set").alias(f"s{x}")) for x in "ab")
     met = pairs.join(first, "a").join(second, "b").withColumn("both", F.size(F.array_intersect("sa", "sb")))
-    return met.filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
+    out = written(met.filter(100 * F.col("both") >= percent * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b"), "links")
+    dropped(pairs)
+    dropped(sets)
+    return out
+
+
+def _multiplied(members: DataFrame, rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) within long posting lists, members (s, id, component), by products of blocks of whole sets.
+
+    A task multiplies two blocks of at most BLOCK documents of a list and gives out a spanning forest of the links
+    that it finds between different components, so what leaves it is linear in its rows.
+    """
+    order = Window.partitionBy("s").orderBy("id")
+    many = F.count("*").over(Window.partitionBy("s"))
+    cut = members.select("s", "id", "component", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int").alias("own"), F.ceil(many / BLOCK).cast("int").alias("blocks"))
+    met = cut.join(_sets(rows, members, k), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = met.select("s", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "id", "component", "set")
+
+    def product(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, comp, own = (table[c].to_numpy() for c in ("id", "component", "own"))
+        lists = table["set"].combine_chunks()
+        n = np.diff(lists.offsets.to_numpy())
+        token, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(ids)), n)
+        _, which, df = np.unique(token, return_inverse=True, return_counts=True)
+        shared = df[which] > 1
+        which, owner = np.unique(which[shared], return_inverse=True)[1], owner[shared]
+        left, right = np.flatnonzero(own == table["bi"][0].as_py()), np.flatnonzero(own == table["bj"][0].as_py())
+        both = np.zeros((len(left), len(right)), np.float32)
+        for at in range(0, int(which.max(initial=-1)) + 1, 2048):
+            some = (which >= at) & (which < at + 2048)
+            hot = np.zeros((len(ids), 2048), np.float32)
+            hot[owner[some], which[some] - at] = 1
+            both += hot[left] @ hot[right].T
+        union = n[left][:, None] + n[right][None] - both
+        near = (100 * both.astype(np.int64) >= percent * union.astype(np.int64)) & (comp[left][:, None] != comp[right][None])
+        root = {}
+
+        def top(x):
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        edges = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(near)), strict=True):
+            p, q = top(int(comp[left[i]])), top(int(comp[right[j]]))
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                edges.append((int(ids[left[i]]), int(ids[right[j]])))
+        a, b = zip(*edges, strict=True) if edges else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return dealt.groupBy("s", "bi", "bj").applyInArrow(product, "a long, b long")
 
 
 def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -106,23 +164,32 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_i
     star = lists.filter(F.col("id") != F.col("first.id")).select(F.col("first.id").alias("a"), F.col("first.n").alias("na"), F.col("id").alias("b"), "n")
     star = star.filter(near(F.col("na"), F.col("n"))).groupBy("a", "b", "na", "n").agg(F.count("*").alias("c"))
     star = star.filter(F.col("c") >= 0.3 * F.least(took(F.col("na")), took(F.col("n"))))
-    found = written(_verified(star, rows, k, percent), "links")
+    found = _verified(star, rows, k, percent)
     part = components(found)
 
     placed = lists.select("s", "id", "n", "pos").join(part.hint("shuffle_hash"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed_lists = placed.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("s")
-    placed = written(placed.join(mixed_lists, "s", "left_semi"), "placed")
-    l, r = placed.alias("l"), placed.alias("r")
-    pairs = l.join(r, (F.col("l.s") == F.col("r.s")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.component") != F.col("r.component")) & near(F.col("l.n"), F.col("r.n")))
-    pairs = pairs.groupBy(F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb")).agg(F.count("*").alias("c"), F.max("l.pos").alias("pa"), F.max("r.pos").alias("pb"))
+    # the first entry that two linked sets share lies within n - ceil(t n) of either
+    placed = placed.filter(F.col("pos") <= F.col("n") - F.ceil(percent * F.col("n") / 100))
+    mixed_lists = placed.groupBy("s").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("many")).filter("x <> y").select("s", "many")
+    placed = written(placed.join(mixed_lists, "s"), "placed")
+    dropped(lists)
+    multiplied = written(_multiplied(placed.filter(F.col("many") > SHORT_LIST), rows, k, percent), "links")
+    short = placed.filter(F.col("many") <= SHORT_LIST)
+    l, r = short.alias("l"), short.alias("r")
+    overlap = F.ceil(F.lit(percent) * (F.col("l.n") + F.col("r.n")) / (100 + percent))
+    first = (F.col("l.pos") <= F.col("l.n") - overlap) & (F.col("r.pos") <= F.col("r.n") - overlap)
+    pairs = l.join(r, (F.col("l.s") == F.col("r.s")) & (F.col("l.id") < F.col("r.id")) & (F.col("l.component") != F.col("r.component")) & near(F.col("l.n"), F.col("r.n")) & first)
+    pairs = pairs.select(F.col("l.id").alias("a"), F.col("r.id").alias("b"), F.col("l.n").alias("na"), F.col("r.n").alias("nb")).distinct()
+    # overlap of the prefixes, counted on the pairs that are left
+    starts = heads.select("id", "prefix")
+    pairs = pairs.join(starts.select(F.col("id").alias("a"), F.col("prefix").alias("xa")), "a").join(starts.select(F.col("id").alias("b"), F.col("prefix").alias("xb")), "b")
     need = lambda n: F.least(F.lit(10), F.greatest(F.lit(1), F.floor(n / 20)))
-    overlap = F.ceil(F.lit(percent) * (F.col("na") + F.col("nb")) / (100 + percent))
-    left = F.col("c") + F.least(F.col("na") - F.col("pa") - 1, F.col("nb") - F.col("pb") - 1)
-    pairs = pairs.filter((F.col("c") >= F.least(need(F.col("na")), need(F.col("nb")))) & (left >= overlap))
-    more = written(_verified(pairs, rows, k, percent), "links")
+    pairs = pairs.filter(F.size(F.array_intersect("xa", "xb")) >= F.least(need(F.col("na")), need(F.col("nb"))))
+    more = _verified(pairs, rows, k, percent)
+    dropped(placed)
     ends = lambda e: e.select("a", "b")
     # links of the second pass join components of the first
-    joined = part.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(ends(more))
+    joined = part.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(ends(more)).unionByName(ends(multiplied))
     final = components(joined)
 
     of_group = heads.select("n", "digest", "id").join(final, "id", "left").select("n", "digest", F.coalesce("component", "id").alias("component_id"))
