@@ -47,16 +47,23 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def symbols(text: Column) -> Column:
-    """Symbol numbers of a text between two boundaries."""
-    known = F.regexp_replace(F.lower(text), f"[^{SYMBOLS}]".replace("-]", "\\-]"), "_")
-    inner = F.transform(F.split(known, "(?!^)(?!$)"), lambda c: F.when(c == "_", N - 1).otherwise(F.instr(F.lit(SYMBOLS), c)))
-    return F.concat(F.array(F.lit(0), F.lit(0)), inner, F.array(F.lit(0)))
+def cells(text: Column) -> Column:
+    """Number of the cell (two symbols before, symbol) at each place of a text and at its end.
 
+    Symbols become characters 2 and up, the boundary 1, so a symbol's number is its code less 1. The prepared text
+    is bound to a lambda variable, so that it is made once and not at every place.
+    """
+    known = F.regexp_replace(F.lower(text), "[^a-z0-9/.\\-]", "_")
+    coded = F.translate(known, SYMBOLS + "_", "".join(chr(i + 2) for i in range(N - 1)))
+    padded = F.concat(F.lit("\1\1"), coded, F.lit("\1"))
 
-def cells(seq: Column) -> Column:
-    """Number of the cell (two symbols before, symbol) at each place of a sequence of symbols."""
-    return F.transform(F.sequence(F.lit(2), F.size(seq) - 1), lambda i: (F.get(seq, i - 2) * N + F.get(seq, i - 1)) * N + F.get(seq, i))
+    def at(t, i):
+        return F.ascii(F.substring(t, i, F.lit(1))) - 1
+
+    def each(t):
+        return F.transform(F.sequence(F.lit(3), F.length(t)), lambda i: (at(t, i - 2) * N + at(t, i - 1)) * N + at(t, i))
+
+    return F.get(F.transform(F.array(padded), each), F.lit(0))
 
 
 def log_ratios(trained: DataFrame) -> DataFrame:
@@ -97,8 +104,8 @@ def url_filter(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "
     rule, says = longest_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "says": says})
     address = F.concat("host", "path")
-    rows = rows.withColumn("seq", F.when(F.length(address) > 0, symbols(address))).withColumn("cells", cells(F.col("seq")))
-    taught = rows.filter("cells is not null").select(F.coalesce("says", F.lit("allow")).alias("verdict"), address.alias("address"), "cells")
+    rows = rows.withColumn("cells", F.when(F.length(address) > 0, cells(address)))
+    taught = rows.filter(F.length(address) > 0).select(F.coalesce("says", F.lit("allow")).alias("verdict"), address.alias("address"), "cells")
     fold = F.pmod(F.crc32(F.col("address")), F.lit(FOLDS)) == HELD_OUT
     model = log_ratios(taught.filter(~fold)).scalar()
 
