@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from lexforge.llm.common import components, written
 
-SAMPLE, TREES, LEAF, SPILL, BLOCK = 20_000, 6, 64, 0.04, 512
+SAMPLE, TREES, LEAF, SPILL, BLOCK = 20_000, 5, 64, 0.01, 512
 
 
 class Tree:
