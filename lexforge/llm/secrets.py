@@ -12,9 +12,13 @@ columns are ignored; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexforge.llm.common import written
+
 #: Fixed by the contract: (kind, pattern, group that is measured, its least length), in the order of kinds.
 BASE = (
     ("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -88,29 +92,37 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     return hit_secrets.unionByName(hit_others).filter("kind like 'weak%'")
 
 
+def _reportable(text: Column) -> Column:
+    """Whether a text has a weak identifier or a weak secret; no other text can gain a span by linking."""
+    return text.rlike(WEAK[0][2]) | text.rlike(WEAK[1][2])
+
+
 def secret_spans(docs: DataFrame, scope: int = SCOPE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, digest, base, all): arrays of (start, kind, end) of each row, base ones alone and with linked ones."""
+    """(key, digest, base, every): arrays of (start, kind, end) of each row, base ones alone and with linked ones.
+
+    Only rows with a weak part that could be reported are shuffled; the others are done where they are read.
+    """
     rows = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kinds = tuple(k[0] for k in BASE)
     base = ordered(F.concat(*(spans(F.col("text"), *k) for k in BASE)), kinds)
-    first = rows.select("doc", F.sha2("text", 256).alias("digest"), base.alias("base"))
+    alone = rows.filter(~_reportable(F.col("text"))).select(F.col("doc").alias(key), F.sha2("text", 256).alias("digest"), base.alias("base"))
+    alone = alone.withColumn("every", F.col("base"))
 
     # base spans are parts too: access keys identify, assigned values and hex strings are secrets
-    other = "|".join(f"(?:{p})" for k, part, p in WEAK if part != "secret")
-    some = rows.filter(F.col("text").rlike(WEAK[1][2]) | F.col("text").rlike(other)).withColumn("digest", F.sha2("text", 256))
+    some = rows.filter(_reportable(F.col("text"))).withColumn("digest", F.sha2("text", 256))
     weak = F.concat(*(spans(F.col("text"), k, p) for k, _, p in WEAK))
-    strong = F.concat(*(spans(F.col("text"), *k) for k in BASE))
-    clear = F.filter(F.col("weak"), lambda w: ~F.exists(F.col("strong"), lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
+    some = written(some.select("doc", "digest", base.alias("base"), weak.alias("weak")), "parts")
+    clear = F.filter(F.col("weak"), lambda w: ~F.exists(F.col("base"), lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
     part = F.create_map(*(F.lit(x) for k, p, _ in WEAK for x in (k, p)), *(F.lit(x) for x in ("assign", "secret", "hex", "secret", "access", "id")))
-    found = some.select("doc", "digest", weak.alias("weak"), strong.alias("strong")).select("doc", "digest", F.explode(F.concat(clear, "strong")).alias("x"))
+    found = some.select("doc", "digest", F.explode(F.concat(clear, "base")).alias("x"))
     parts = found.select("doc", "digest", "x.*").distinct().withColumn("part", part[F.col("kind")])
     extra = linked(parts, scope).groupBy("doc", "digest").agg(F.collect_set(F.struct("start", "kind", "end")).alias("extra"))
 
-    f, e = first.alias("f"), extra.alias("e")
+    f, e = some.select("doc", "digest", "base").alias("f"), extra.alias("e")
     met = f.join(e, F.col("f.doc").eqNullSafe(F.col("e.doc")) & (F.col("f.digest") == F.col("e.digest")), "left")
     none = F.array().cast("array<struct<start:int,kind:string,end:int>>")
     every = ordered(F.concat(F.col("f.base"), F.coalesce(F.col("e.extra"), none)), (*kinds, *(w[0] for w in WEAK)))
-    return met.select(F.col("f.doc").alias(key), F.col("f.digest").alias("digest"), "base", every.alias("every"))
+    return alone.unionByName(met.select(F.col("f.doc").alias(key), F.col("f.digest").alias("digest"), "base", every.alias("every")))
 
 
 def secret_scan(docs: DataFrame, scope: int = SCOPE, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,12 +132,21 @@ def secret_scan(docs: DataFrame, scope: int = SCOPE, key: str = "doc_id", text:
     return got.select(key, *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.col("every")).alias("spans"))
 
 
+def _found(text: Column) -> Column:
+    """Whether a text may hold a span that is replaced."""
+    return F.coalesce(functools.reduce(lambda a, b: a | b, (text.rlike(_sieve(k, p)) for k, p, *_ in BASE)) | _reportable(text), F.lit(False))
+
+
 def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows and columns, each secret span (of either sort) replaced by mark; n_chars, if there, follows the text."""
-    found = secret_spans(docs, scope, key, text).filter(F.size("every") > 0).filter(F.exists("every", lambda x: x["kind"] != "endpoint"))
+    """All rows and columns, each secret span (of either sort) replaced by mark; n_chars, if there, follows the text.
+
+    Rows without a span pass as they are; only the others are written, scanned and joined with their spans.
+    """
+    own = written(docs.filter(_found(F.col(text))), "suspects")
     cuts = F.filter("every", lambda x: x["kind"] != "endpoint")
-    found = found.select(F.col(key).alias("_doc"), F.col("digest").alias("_digest"), cuts.alias("_cuts")).distinct()
-    rows = docs.withColumn("_own", F.sha2(text, 256))
+    found = secret_spans(own, scope, key, text).select(F.col(key).alias("_doc"), F.col("digest").alias("_digest"), cuts.alias("_cuts"))
+    found = found.filter(F.size("_cuts") > 0).distinct()
+    rows = own.withColumn("_own", F.sha2(text, 256))
     met = rows.join(found, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_digest")), "left")
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
@@ -136,8 +157,8 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE, key: s
     def rest(acc):
         return F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text)))
 
-    clean = F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.aggregate("_cuts", first, step, rest))
-    out = met.withColumn(text, clean)
+    out = met.withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.aggregate("_cuts", first, step, rest)))
+    out = out.select(*docs.columns).unionByName(docs.filter(~_found(F.col(text))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
