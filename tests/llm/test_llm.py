@@ -101,6 +101,21 @@ def test_url_filter(spark):
     assert url_filter(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_secrets_of_odd_rows(spark):
+    from lexforge.llm.secrets import redacted, secret_scan
+
+    part = "Ab3" * 7
+    rows = [(None, "token: abcdefgh1"), (1, None), (2, ""), (3, f"login: bobby then {part} end"), (3, f"login: bobby then {part} end"), (4, f"{part} alone"), (5, f"https://x.example.com {part}"), (6, "https://x.example.com only"), (7, "login: bobby secret=longenough1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "cast(length(text) as long) n_chars", "'x' digest", "'y' base")
+    got = sorted((r.doc_id or 0, r.spans) for r in secret_scan(docs).collect())
+    assert got == [(0, "assign:0:16"), (1, ""), (2, ""), (3, "weak_id:0:12,weak_secret:18:39"), (3, "weak_id:0:12,weak_secret:18:39"), (4, ""), (5, "weak_secret:22:43"), (6, ""), (7, "weak_id:0:12,assign:13:31")]
+    out = redacted(docs)
+    assert out.columns == docs.columns and out.filter("n_chars <> length(text)").count() == 0
+    texts = sorted((r.doc_id or 0, r.text or "") for r in out.collect())
+    assert texts == [(0, "[SECRET]"), (1, ""), (2, ""), (3, "[SECRET] then [SECRET] end"), (3, "[SECRET] then [SECRET] end"), (4, f"{part} alone"), (5, "https://x.example.com [SECRET]"), (6, "https://x.example.com only"), (7, "[SECRET] [SECRET]")]
+    assert secret_scan(docs.limit(0)).count() == 0 and redacted(docs.limit(0)).count() == 0
+
+
 def test_secrets(spark):
     from lexforge.llm.secrets import redacted, secret_scan
 
