@@ -27,10 +27,17 @@ from pyspark.sql import functions as F
 SAMPLE, WORDS, SHAPES, LEAST_TEXTS, ROUNDS, C = 6000, 1500, 500, 3, 12, 0.5
 
 
+_PLAIN = str.maketrans({chr(c): "A" if c < 91 else "a" for c in (*range(65, 91), *range(97, 123))} | {str(d): "0" for d in range(10)})
+_LETTER, _DIGIT, _RUN = re.compile(r"[^\W\d_]"), re.compile(r"\d"), re.compile(r"(.)\1+")
+
+
 def shape(word: str) -> str:
-    s = re.sub(r"[^\W\d_]", lambda m: "A" if m.group().isupper() else "a", word[:64])
-    s = re.sub(r"\d", "0", s)
-    return re.sub(r"(.)\1+", r"\1\1", s)[:16]
+    s = word[:64]
+    if s.isascii():
+        s = s.translate(_PLAIN)
+    else:
+        s = _DIGIT.sub("0", _LETTER.sub(lambda m: "A" if m.group().isupper() else "a", s))
+    return _RUN.sub(r"\1\1", s)[:16]
 
 
 class Codes:
@@ -61,11 +68,13 @@ def fit(texts: list[str], labels: np.ndarray) -> dict:
     """The model of a sample: vocabulary, dense weights of features, scale and offset of the logistic curve."""
     from collections import Counter
 
-    words, shapes = Counter(), Counter()
+    words, shapes, seen = Counter(), Counter(), {}
     for t in texts:
         own = set(t.split())
         words.update(own)
-        shapes.update({shape(w) for w in own})
+        for w in own.difference(seen):
+            seen[w] = shape(w)
+        shapes.update(set(map(seen.__getitem__, own)))
     by_count = lambda c, n: {w: i for i, (w, _) in enumerate(sorted(c.items(), key=lambda x: (-x[1], x[0]))[:n])}
     vocabulary = by_count(Counter({w: n for w, n in words.items() if n >= 10}), WORDS)
     forms = {w: i + len(vocabulary) for w, i in by_count(shapes, SHAPES).items()}
