@@ -76,18 +76,18 @@ def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Weak identifiers and secrets with a complementary part at most scope code points away.
 
     parts: (doc, digest, start, kind, end, part). Identifiers and endpoints are dealt to the buckets that their
-    reach touches, secrets to their own bucket, so a pair of parts meets once; only whether a complement
-    exists is kept of each meeting.
+    reach touches, secrets to the buckets of their start and their end: parts that are near don't overlap, so one of
+    the two ends lies within the reach. A pair may meet twice; only whether a complement exists is kept.
     """
     bucket = lambda c: F.floor(c / scope).cast("int")
-    secrets = parts.filter("part = 'secret'").withColumn("b", bucket(F.col("start")))
+    secrets = parts.filter("part = 'secret'").withColumn("b", F.explode(F.array_distinct(F.array(bucket(F.col("start")), bucket(F.col("end"))))))
     others = parts.filter("part <> 'secret'").withColumn("b", F.explode(F.sequence(bucket(F.greatest(F.col("start") - scope, F.lit(0))), bucket(F.col("end") + scope))))
     # extremes by bucket decide whether any complement is near, so no bucket's pairs are multiplied out
     s, o = secrets.alias("s"), others.alias("o")
     same = F.col("s.doc").eqNullSafe(F.col("o.doc")) & (F.col("s.digest") == F.col("o.digest")) & (F.col("s.b") == F.col("o.b"))
     near = (F.col("s.start") < F.col("o.end") + scope) & (F.col("o.start") < F.col("s.end") + scope) & ((F.col("s.end") <= F.col("o.start")) | (F.col("o.end") <= F.col("s.start")))
     keep = ["doc", "digest", "start", "kind", "end"]
-    hit_secrets = s.join(o, same & near, "left_semi").select(*keep)
+    hit_secrets = s.join(o, same & near, "left_semi").select(*keep).distinct()
     hit_others = o.join(s, same & near, "left_semi").filter("part = 'id'").select(*keep).distinct()
     return hit_secrets.unionByName(hit_others).filter("kind like 'weak%'")
 

@@ -128,6 +128,29 @@ def test_secrets(spark):
     assert clean[0] == "é [SECRET] x" and clean[3] is None and clean[6] == texts[6] and len(clean) == 8
 
 
+def test_secrets_link_across_buckets(spark):
+    from lexforge.llm.secrets import linked, redacted, secret_scan
+
+    texts = ["token=" + "aB3-" * 250 + " ... login: bobby", "x" * 589 + " " + "Ab3" * 13 + "." * 271 + "login: bobby"]
+    got = [r.spans for r in secret_scan(table(spark, texts)).orderBy("doc_id").collect()]
+    assert got == ["assign:0:1006,weak_id:1011:1023", "weak_secret:590:629,weak_id:900:912"]
+    clean = [r.text for r in redacted(table(spark, texts)).orderBy("doc_id").collect()]
+    assert clean == ["[SECRET] ... [SECRET]", "x" * 589 + " [SECRET]" + "." * 271 + "[SECRET]"]
+
+    rng = np.random.default_rng(8)
+    rows = []
+    for doc in range(60):
+        for _ in range(4):
+            kind = ("weak_id", "weak_secret", "endpoint")[rng.integers(3)]
+            start = int(rng.integers(0, 2500))
+            rows.append((doc, "x", start, kind, start + int(rng.choice([4, 40, 299, 300, 301, 1000])), kind.replace("weak_", "")))
+    rows = sorted(set(rows))
+    near = lambda a, b: a[0] == b[0] and a[2] < b[4] + 300 and b[2] < a[4] + 300 and (a[4] <= b[2] or b[4] <= a[2])
+    want = {a[:5] for a in rows for b in rows if a[5] != "endpoint" and (a[5] == "secret") != (b[5] == "secret") and near(a, b)}
+    out = [tuple(r) for r in linked(spark.createDataFrame(rows, "doc long, digest string, start int, kind string, end int, part string")).collect()]
+    assert sorted(out) == sorted(want)
+
+
 def test_repeats(spark):
     from lexforge.llm.suffix_dedup import remove_repeats
 
