@@ -25,17 +25,27 @@ BASE = (
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]+", 0, 32),
 )
+#: A run of a secret's characters; what it must hold: 20 or more of them, a digit, an upper and a lower letter.
+_RUN = "[A-Za-z0-9+/_=-]"
+_MIXED = f"(?={_RUN}{{20}})(?=[A-Za-z+/_=-]*+[0-9])(?=[a-z0-9+/_=-]*+[A-Z])(?=[A-Z0-9+/_=-]*+[a-z])"
+#: The same of a name before "=": such a name is part of the secret.
+_MIXED_NAME = "(?=[A-Za-z0-9_-]{20})(?=[A-Za-z_-]*+[0-9])(?=[a-z0-9_-]*+[A-Z])(?=[A-Z0-9_-]*+[a-z])"
 #: Weak parts: (kind, part, pattern). Parts complement each other: an identifier or an endpoint with a secret.
+#: A weak secret is a whole run, however long, without a leading name= where what follows is a secret by itself; the
+#: span is the pattern's group, which ends the match.
 WEAK = (
     ("weak_id", "id", r"""(?<![A-Za-z0-9])(?:(?:ASIA|AROA|AIDA)[A-Z0-9]{12,}|(?i:access_?key_?id|client_?id|user_?name|login)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9@._-]{4,})"""),
-    ("weak_secret", "secret", r"""(?<![A-Za-z0-9+/_=-])(?=[A-Za-z0-9+/_=-]{0,63}[0-9])(?=[A-Za-z0-9+/_=-]{0,63}[A-Z])(?=[A-Za-z0-9+/_=-]{0,63}[a-z])[A-Za-z0-9+/_=-]{20,64}(?![A-Za-z0-9+/_=-])"""),
+    ("weak_secret", "secret", rf"""(?<!{_RUN}){_MIXED}(?:(?!{_MIXED_NAME})[A-Za-z0-9_-]++=++(?={_MIXED}))?({_RUN}{{20,}}+)"""),
     ("endpoint", "endpoint", r"""(?i:https?|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.:@_-]{4,}|(?i:endpoint|host)["']?\x20{0,4}[:=]\x20{0,4}["']?[A-Za-z0-9.:_-]{4,}"""),
 )
 SCOPE = 300
 
 
-def spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0) -> Column:
-    """Array of (start, kind, end) of leftmost non-overlapping matches, those whose group is too short dropped."""
+def spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0, last: bool = False) -> Column:
+    """Array of (start, kind, end) of leftmost non-overlapping matches, those whose group is too short dropped.
+
+    With last the span is the group alone, which has to end the match.
+    """
     whole, measured = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     both = F.arrays_zip(gaps.alias("gap"), F.transform(whole, lambda m: F.length(m)).alias("size"), F.transform(measured, lambda m: F.length(m)).alias("inner"))
@@ -44,7 +54,8 @@ def spans(text: Column, kind: str, pattern: str, group: int = 0, least: int = 0)
 
     def step(acc, x):
         start = acc["at"] + x["gap"]
-        span = F.array(F.struct(start.alias("start"), F.lit(kind).alias("kind"), (start + x["size"]).alias("end")))
+        begin = start + x["size"] - x["inner"] if last else start
+        span = F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), (start + x["size"]).alias("end")))
         return F.struct((start + x["size"]).alias("at"), F.when(x["inner"] >= least, F.concat(acc["out"], span)).otherwise(acc["out"]).alias("out"))
 
     none = F.array().cast("array<struct<start:int,kind:string,end:int>>")
@@ -110,7 +121,7 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE, key: str = "doc_id", text:
 
     # base spans are parts too: access keys identify, assigned values and hex strings are secrets
     some = rows.filter(_reportable(F.col("text"))).withColumn("digest", F.sha2("text", 256))
-    weak = F.concat(*(spans(F.col("text"), k, p) for k, _, p in WEAK))
+    weak = F.concat(*(spans(F.col("text"), k, p, int(k == "weak_secret"), 0, k == "weak_secret") for k, _, p in WEAK))
     some = written(some.select("doc", "digest", base.alias("base"), weak.alias("weak")), "parts")
     clear = F.filter(F.col("weak"), lambda w: ~F.exists(F.col("base"), lambda b: (w["start"] < b["end"]) & (b["start"] < w["end"])))
     part = F.create_map(*(F.lit(x) for k, p, _ in WEAK for x in (k, p)), *(F.lit(x) for x in ("assign", "secret", "hex", "secret", "access", "id")))

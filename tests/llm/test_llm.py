@@ -151,6 +151,18 @@ def test_secrets_link_across_buckets(spark):
     assert sorted(out) == sorted(want)
 
 
+def test_long_weak_secrets(spark):
+    from lexforge.llm.secrets import redacted, secret_scan
+
+    key, site = "aB3+" * 21 + "Zx==", " https://x.example.com"
+    own = "Ab3x" * 6  # a name that is a secret itself isn't cut
+    texts = [f"AccountName=x;AccountKey={key}{site}", f"{'aB3-' * 5000}{site}", f"é AccountKey={'aB3' * 20}{site}", f"client_secret=Ab3def{site}", f"{own}={'aB3' * 9}{site}", f"{'xy3' * 40}{site}", f"{key}; {'aB3' * 6}aB{site}", f"{key} alone", f"{'aB3' * 6}a{site}"]
+    rows = secret_scan(table(spark, texts)).orderBy("doc_id").collect()
+    assert [r.spans for r in rows] == ["weak_secret:25:113", "weak_secret:0:20000", "weak_secret:13:73", "weak_secret:0:20", "weak_secret:0:52", "", "weak_secret:0:88,weak_secret:90:110", "", ""]
+    clean = [r.text for r in redacted(table(spark, texts)).orderBy("doc_id").collect()]
+    assert clean[0] == f"AccountName=x;AccountKey=[SECRET]{site}" and clean[1] == f"[SECRET]{site}" and clean[7] == texts[7]
+
+
 def test_repeats(spark):
     from lexforge.llm.suffix_dedup import remove_repeats
 
