@@ -200,11 +200,16 @@ def ngram_join(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_i
 
 
 def one_of_each(docs: DataFrame, k: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay when each group of linked documents keeps its smallest id, and each id one row."""
-    groups = ngram_join(docs, k, percent, key, text)
-    stay = groups.filter(F.col(key).isNull() | (F.col(key) == F.col("component_id"))).select(F.col(key).alias("_stay"))
-    rows = docs
-    if docs.groupBy(key).count().filter("count > 1").limit(1).count():
-        best = F.max(F.struct(F.col(text), *(F.col(c) for c in docs.columns if c not in (key, text)))).alias("x")
-        rows = docs.groupBy(key).agg(best).select(key, "x.*").select(*docs.columns)
-    return rows.join(stay, F.col(key).eqNullSafe(F.col("_stay")), "left_semi")
+    """The rows that stay when each group of linked rows keeps the one with the smallest id, a null id last.
+
+    Where an id is null or repeats, every row gets a key of its own for the join, so that rows are dropped for a link
+    only; of rows with the same id the one with the smallest digest of the text goes first.
+    """
+    if not docs.groupBy(key).count().filter((F.col("count") > 1) | F.col(key).isNull()).limit(1).count():
+        stay = ngram_join(docs, k, percent, key, text).filter(F.col(key) == F.col("component_id")).select(key)
+        return docs.join(stay, key, "left_semi").select(*docs.columns)
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    order = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.sha2(text, 256).alias("digest"), F.col("_row").alias("row"))
+    met = rows.select("_row", order.alias("x")).join(ngram_join(rows, k, percent, "_row", text), "_row")
+    stay = met.groupBy("component_id").agg(F.min("x").alias("x")).select(F.col("x.row").alias("_row"))
+    return rows.join(stay, "_row", "left_semi").select(*docs.columns)

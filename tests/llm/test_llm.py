@@ -223,6 +223,18 @@ def test_ngram_join(spark, monkeypatch, short):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {i: (len(s), want[i]) for i, s in enumerate(sets)}
 
 
+def test_one_of_each_drops_links_only(spark):
+    from lexforge.llm.ngram_join import one_of_each
+
+    rng = np.random.default_rng(4)
+    a, b, c, d, e = (" ".join("".join(rng.choice(list("abcdefgh"), 6)) for _ in range(40)) for _ in range(5))
+    rows = [(None, a), (None, b), (None, b), (None, ""), (None, None), (7, c), (7, d), (7, d), (5, c), (9, e), (None, e), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [tuple(r) for r in one_of_each(docs).collect()]
+    show = lambda rows: sorted(rows, key=str)
+    assert show(got) == show([(None, a), (None, b), (None, ""), (None, None), (7, d), (5, c), (9, e), (3, None)])
+
+
 def test_embeddings(spark):
     from lexforge.llm.embedding_dedup import near_vectors
 
