@@ -147,8 +147,8 @@ def clean_ocr(c: Column) -> Column:
         (r"[|\[\]]", ""),
         (r"(?U)\s--\s?", " "),
         (r"\\([,;.])", "$1"),
-        (r"(?Um)(?:^|\s)\\(?=\s|$)", ""),
-        (r"(?Um)\s+,\s*$", ""),
+        (r"(?Umd)(?:^|\s)\\(?=\s|$)", ""),
+        (r"(?Umd)\s+,\s*$", ""),
         (r"(?U),\s*,", ","),
         (r"[ \t]{2,}", " "),
     ):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.text import rewrite
 
-HEADING = r"^(#{1,2} )(\d+)([א-ת]?)((?:\([^)]+\))*)(\.)(.*)$"
+HEADING = r"(?s)^(#{1,2} )(\d+)([א-ת]?)((?:\([^)]+\))*)(\.)(.*)$"
 OLD_ANCHOR = r"""(?U)\s*(?:\{#section-\d+\}|<span id="section-\d+" />)"""
 
 

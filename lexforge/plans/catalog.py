@@ -278,7 +278,7 @@ def r19_valid_numbers(t):
 @query("""
 SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '[|]', '', 'g'), ',\\s*,', ',', 'g'), '[ \\t]{2,}', ' ', 'g'), ' ' || chr(10) || chr(9)) AS text FROM documents WHERE NOT regexp_matches(text, '(\\s+,\\s*(\\n|$))|--|[\\\\\\[\\]]|₪')""")
 def e05_clean_ocr(t):
-    return t.documents.filter(~F.col("text").rlike(r"(\s+,\s*(\n|$))|--|[\\\[\]]|₪")).select("doc_id", T.clean_ocr(F.col("text")).alias("text"))
+    return t.documents.select("doc_id", T.clean_ocr(F.col("text")).alias("text"))
 
 
 @query("""
@@ -319,8 +319,7 @@ def _numbered(t):
 
 @query(f"SELECT doc_id, CAST(pos AS INTEGER) AS pos, '# ' || CAST(pos + 1 AS VARCHAR) || '. ' || regexp_replace(line, '\\s+$', '') || ' <span id=\"section-' || CAST(pos + 1 AS VARCHAR) || '\" />' AS line FROM ({_LINES}) WHERE NOT regexp_matches(line, '[\\r\\x0b\\x0c]')")
 def r20_section_anchors(t):
-    rows = _numbered(t).filter(~F.col("line").rlike("[\\r\\x0b\\x0c]"))
-    return lines.section_anchors(rows).select("doc_id", "pos", "line")
+    return lines.section_anchors(_numbered(t)).select("doc_id", "pos", "line")
 
 
 @query(f"""
@@ -343,9 +342,19 @@ WITH l AS ({_LINES}), n AS (SELECT doc_id, max(pos) + 1 AS n FROM l GROUP BY 1)
 SELECT l.doc_id, CAST(pos AS INTEGER) AS pos, CASE WHEN line LIKE '>%' THEN line WHEN pos % 7 < n.n THEN line || ' [§ ' || CAST(pos % 7 + 0 AS VARCHAR) || '](#section-' || CAST(pos % 7 AS VARCHAR) || ')' ELSE line || ' § ' || CAST(pos % 7 AS VARCHAR) END AS line
 FROM l JOIN n USING (doc_id) WHERE pos % 7 > 0""")
 def r21_section_links(t):
+    return _section_links(t, lines.explode_lines(t.documents).filter("pos % 7 > 0"))
+
+
+@query()
+def r21_section_links_whole(t):
+    """The same over all lines: the SQL of r21_section_links leaves every seventh out."""
+    return _section_links(t, lines.explode_lines(t.documents))
+
+
+def _section_links(t, asked):
     rows = lines.explode_lines(t.documents)
     known = rows.groupBy("doc_id").agg(F.max("pos").alias("n")).select("doc_id", F.explode(F.sequence(F.lit(0), "n")).alias("num")).withColumn("num", F.col("num").cast("string"))
-    asked = rows.filter("pos % 7 > 0").withColumn("line", F.when(F.col("line").startswith(">"), F.col("line")).otherwise(F.concat("line", F.lit(" § "), (F.col("pos") % 7).cast("string"))))
+    asked = asked.withColumn("line", F.when(F.col("line").startswith(">"), F.col("line")).otherwise(F.concat("line", F.lit(" § "), (F.col("pos") % 7).cast("string"))))
     return lines.linked_references(asked, known, r"§ \d+").select("doc_id", "pos", "line")
 
 

@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from lexforge.functions import text as T
@@ -54,6 +56,31 @@ def test_sections_references_and_notes(spark):
     assert "- [הערה](#section-1)" in lines.margin_index(rows).first()["index"]
 
 
+def documents(spark, path, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_all_lines_and_documents(spark, tmp_path):
+    from lexforge.plans import registry
+
+    texts = ["a -- b [c] | x\\, y ,\nz \\ w, , v", "₪ 5 (₪) 7₪x  ,\r\nq \r\\\rr", "\u200fplain", "T one\rtwo \x0b\nthree\x0c\n> four\r", "\n".join(f"l{i}" for i in range(9))]
+    sf, known = documents(spark, tmp_path, texts), registry.queries()
+
+    def cleaned(t):
+        for pattern, to in (("[\u200e\u200f\u202a-\u202e\u2066-\u2069]", ""), (r"\(\s*[₪$€£]\s*\)", ""), (r"(?<!\w)[₪](?!\w)", ""), (r"[|\[\]]", ""), (r"\s--\s?", " "), (r"\\([,;.])", r"\1"), (r"(?m)(?:^|\s)\\(?=\s|$)", ""), (r"(?m)\s+,\s*$", ""), (r",\s*,", ","), (r"[ \t]{2,}", " ")):
+            t = re.sub(pattern, to, t)
+        return t.strip()
+
+    assert {r.doc_id: r.text for r in known["e05_clean_ocr"](spark, sf).collect()} == {i: cleaned(t) for i, t in enumerate(texts)}
+    split = [(i, n, line) for i, t in enumerate(texts) for n, line in enumerate(t.split("\n"))]
+    anchored = {(i, n): f'{f"# {n + 1}. {line}".rstrip()} <span id="section-{n + 1}" />' for i, n, line in split}
+    assert {(r.doc_id, r.pos): r.line for r in known["r20_section_anchors"](spark, sf).collect()} == anchored
+    last = {i: n for i, n, _ in split}
+    linked = {(i, n): line if line.startswith(">") else f"{line} [§ {n % 7}](#section-{n % 7})" if n % 7 <= last[i] else f"{line} § {n % 7}" for i, n, line in split}
+    assert {(r.doc_id, r.pos): r.line for r in known["r21_section_links_whole"](spark, sf).collect()} == linked
+
+
 def test_dictionary_links_longest_first(spark):
     docs = spark.createDataFrame([(1, "Tax Act and Tax Act (No 2), [Tax Act](x)")], "doc_id long, text string")
     names = spark.createDataFrame([("Tax Act", "u1"), ("Tax Act (No 2)", "u$2")], "name string, url string")
