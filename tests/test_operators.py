@@ -81,6 +81,15 @@ def test_all_lines_and_documents(spark, tmp_path):
     assert {(r.doc_id, r.pos): r.line for r in known["r21_section_links_whole"](spark, sf).collect()} == linked
 
 
+def test_all_files_by_status(spark, tmp_path):
+    from lexforge.plans import registry
+
+    orders = [(i, "FOP"[i % 3] if i % 10 else None) for i in range(1, 121)]
+    spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
+    got = {tuple(r) for r in registry.queries()["a11_files_by_status_whole"](spark, str(tmp_path)).collect()}
+    assert got == {(s, sum(x == s for _, x in orders), i) for i, s in orders}
+
+
 def test_dictionary_links_longest_first(spark):
     docs = spark.createDataFrame([(1, "Tax Act and Tax Act (No 2), [Tax Act](x)")], "doc_id long, text string")
     names = spark.createDataFrame([("Tax Act", "u1"), ("Tax Act (No 2)", "u$2")], "name string, url string")
