@@ -266,6 +266,13 @@ def r16_escape_braces(t):
     return t.documents.select("doc_id", x.alias("escaped"), T.unescape_braces(x).alias("back"))
 
 
+@query()
+def r16_escape_braces_whole(t):
+    """The same of whole texts: the SQL of r16_escape_braces takes their first 50 characters."""
+    x = T.escape_braces(F.concat(F.lit("{"), F.col("text"), F.lit("}")))
+    return t.documents.select("doc_id", x.alias("escaped"), T.unescape_braces(x).alias("back"))
+
+
 @query("SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) AS text FROM documents")
 def r17_squeeze(t):
     return t.documents.select("doc_id", T.squeeze(F.col("text")).alias("text"))

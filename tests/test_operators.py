@@ -90,6 +90,14 @@ def test_all_files_by_status(spark, tmp_path):
     assert got == {(s, sum(x == s for _, x in orders), i) for i, s in orders}
 
 
+def test_braces_of_whole_texts(spark, tmp_path):
+    from lexforge.plans import registry
+
+    texts = ["x" * 60 + " {a} {{b}\n}" + "y" * 20, "", "{" * 70]
+    got = {r.doc_id: (r.escaped, r.back) for r in registry.queries()["r16_escape_braces_whole"](spark, documents(spark, tmp_path, texts)).collect()}
+    assert got == {i: ("{t}".replace("t", t).replace("{", "\\{").replace("}", "\\}"), "{" + t + "}") for i, t in enumerate(texts)}
+
+
 def test_dictionary_links_longest_first(spark):
     docs = spark.createDataFrame([(1, "Tax Act and Tax Act (No 2), [Tax Act](x)")], "doc_id long, text string")
     names = spark.createDataFrame([("Tax Act", "u1"), ("Tax Act (No 2)", "u$2")], "name string, url string")
