@@ -1,13 +1,14 @@
 """URL rules, then a character language-model ratio, all in DataFrame functions.
 
 Host and path are cut from the url; the longest rule that fits gives the verdict. Two smoothed variable-order Markov
-models (orders 0 to 2, interpolated by Witten-Bell weights) are trained: one of rejected URLs, those that a rule
-blocks, and one of accepted URLs, all that no rule blocks. URLs without a rule are judged by the difference of the
-two log-likelihoods per character, against a threshold calibrated so that at most one in twenty held-out accepted
-URLs falls below it.
+models (interpolated by Witten-Bell weights) are trained: one of rejected URLs, those that a rule blocks, and one of
+accepted URLs, all that no rule blocks. URLs without a rule are judged by the difference of the two log-likelihoods
+per character, against a threshold calibrated so that at most one in twenty held-out accepted URLs falls below it.
 
-The alphabet has 41 symbols, so the models together have 41**3 = 68,921 cells at any size of the input. They are
-kept as one array of log ratios that a scalar subquery puts beside every row; no join and no Python.
+Every character is a symbol of its own, and contexts have no greatest length: they grow along 0, 1, 2, 3, 5, 8, 13 and
+so on, wherever the shorter one was seen LEAST times, up to the whole prefix. The places of all addresses are first
+made distinct by prefix and symbol; counts of a context and its symbols are tables, aggregated and joined once for
+each length, so what is gathered grows with the input. No array of a fixed size is kept, and no Python runs.
 
 Results: one row per input row, whatever its id (null, repeated). A null url or one without "://" has empty host and
 path and, as the models say nothing of it (score 0), is allowed unless the threshold is above 0. An empty table
@@ -16,15 +17,16 @@ gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexforge.llm.common import dropped, written
+
 #: Fixed by the contract: (rule, verdict).
 RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block"))
 
-#: Symbols 1 to 39 in this order; 0 is the boundary and 40 any other character.
-SYMBOLS = "abcdefghijklmnopqrstuvwxyz0123456789/.-"
-N = len(SYMBOLS) + 2
+#: A context is lengthened where training has seen it so often.
+LEAST = 4
 FOLDS, HELD_OUT, FALSE_BLOCKS = 4, 0, 0.05
 
 
@@ -47,54 +49,47 @@ def longest_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return rule, verdict
 
 
-def cells(text: Column) -> Column:
-    """Number of the cell (two symbols before, symbol) at each place of a text and at its end.
+def places(addresses: DataFrame) -> DataFrame:
+    """The columns of addresses with before and symbol of each place of address and of its end (symbol "")."""
+    at = addresses.withColumn("i", F.explode(F.sequence(F.lit(0), F.length("address"))))
+    return at.withColumns({"before": F.expr("substring(address, 1, i)"), "symbol": F.expr("substring(address, i + 1, 1)")}).drop("i")
+
 
-    Symbols become characters 2 and up, the boundary 1, so a symbol's number is its code less 1. The prepared text
-    is bound to a lambda variable, so that it is made once and not at every place.
+def log_ratios(edges: DataFrame) -> DataFrame:
+    """(before, symbol, ratio): log p(accepted) - log p(rejected) of each edge. edges: (before, symbol, allow, block).
+
+    allow and block are how often training holds the edge. An edge leaves the loop when its context is the whole
+    prefix, boundary included ("^"), or was seen less than LEAST times; the others go on to a longer context.
     """
-    known = F.regexp_replace(F.lower(text), "[^a-z0-9/.\\-]", "_")
-    coded = F.translate(known, SYMBOLS + "_", "".join(chr(i + 2) for i in range(N - 1)))
-    padded = F.concat(F.lit("\1\1"), coded, F.lit("\1"))
-
-    def at(t, i):
-        return F.ascii(F.substring(t, i, F.lit(1))) - 1
-
-    def each(t):
-        return F.transform(F.sequence(F.lit(3), F.length(t)), lambda i: (at(t, i - 2) * N + at(t, i - 1)) * N + at(t, i))
-
-    return F.get(F.transform(F.array(padded), each), F.lit(0))
-
-
-def log_ratios(trained: DataFrame) -> DataFrame:
-    """One row with an array: log p(accepted) - log p(rejected) of every cell. trained: (cells array, verdict)."""
-    spark = trained.sparkSession
-    seen = trained.select("verdict", F.explode("cells").alias("cell")).groupBy("cell").agg(*(F.count_if(F.col("verdict") == v).alias(v) for v in ("allow", "block")))
-    grid = spark.range(N**3, numPartitions=1).select(F.col("id").cast("int").alias("cell"))
-    full = grid.join(seen, "cell", "left").na.fill(0)
-    full = full.select("cell", "allow", "block", (F.col("cell") / N).cast("int").alias("h2"), (F.floor(F.col("cell") / N) % N).cast("int").alias("h1"), (F.col("cell") % N).alias("s"))
-    from pyspark.sql import Window as W
-
-    by = {"h2": W.partitionBy("h2"), "h1": W.partitionBy("h1"), "h1s": W.partitionBy("h1", "s"), "s": W.partitionBy("s"), "all": W.partitionBy(F.lit(0))}
-    cols = {}
-    for v in ("allow", "block"):
-        tot = lambda w, v=v: F.sum(v).over(by[w])
-        cols |= {f"{v}_2": tot("h2"), f"{v}_k2": F.count_if(F.col(v) > 0).over(by["h2"]), f"{v}_1s": tot("h1s"), f"{v}_1": tot("h1"), f"{v}_s": tot("s"), f"{v}_0": tot("all")}
-    full = full.withColumns(cols)
-    kinds = {}
-    for v in ("allow", "block"):
-        # distinct successors of a one-symbol history: its (h1, s) totals above 0, each counted in N rows
-        kinds |= {f"{v}_k1": F.count_if(F.col(f"{v}_1s") > 0).over(by["h1"]) / N, f"{v}_k0": F.count_if(F.col(f"{v}_s") > 0).over(by["all"]) / (N * N)}
-    full = full.withColumns(kinds)
-
-    def p(v: str) -> Column:
-        c = lambda n: F.col(f"{v}_{n}")
-        p0 = (c("s") + c("k0") / N + 1.0 / N) / (c("0") + c("k0") + 1.0)
-        p1 = F.when(c("1") > 0, (c("1s") + c("k1") * p0) / (c("1") + c("k1"))).otherwise(p0)
-        return F.when(c("2") > 0, (F.col(v) + c("k2") * p1) / (c("2") + c("k2"))).otherwise(p1)
-
-    ratio = full.select("cell", F.round(F.log(p("allow")) - F.log(p("block")), 9).alias("r"))
-    return ratio.agg(F.transform(F.array_sort(F.collect_list(F.struct("cell", "r"))), lambda x: x.r).alias("model"))
+    live = written(edges, "edges")
+    n_symbols = live.agg(F.count_distinct("symbol")).first()[0]
+    live = live.withColumns({f"p_{v}": F.lit(1.0 / (n_symbols + 1)) for v in ("allow", "block")})
+    done, order, longer = None, 0, 1
+    while True:
+        size = F.length("before")
+        context = F.when(size < order, F.concat(F.lit("^"), F.col("before"))).otherwise(F.concat(F.lit("."), F.expr(f"right(before, {order})")))
+        at = live.withColumn("context", context)
+        counts = at.groupBy("context", "symbol").agg(*(F.sum(v).alias(f"c_{v}") for v in ("allow", "block")))
+        # a context has a row for each symbol, so a window over it is small
+        by = Window.partitionBy("context")
+        sums = {f"n_{v}": F.sum(f"c_{v}").over(by) for v in ("allow", "block")}
+        sums |= {f"t_{v}": F.count_if(F.col(f"c_{v}") > 0).over(by) for v in ("allow", "block")}
+        met = at.join(counts.withColumns(sums), ["context", "symbol"])
+
+        def p(v: str) -> Column:
+            c, n, t, shorter = (F.col(f"{x}_{v}") for x in "cntp")
+            return F.when(n > 0, (c + t * shorter) / (n + t)).otherwise(shorter)
+
+        more = (size >= order) & (F.col("n_allow") + F.col("n_block") >= LEAST)
+        out = met.select("before", "symbol", "allow", "block", p("allow").alias("p_allow"), p("block").alias("p_block"), more.alias("more"))
+        out = written(out, "edges")
+        ended = written(out.filter(~F.col("more")).select("before", "symbol", F.round(F.log("p_allow") - F.log("p_block"), 9).alias("ratio")), "ratios")
+        done = ended if done is None else done.unionByName(ended)
+        dropped(live)
+        live = out.filter("more").drop("more")
+        if live.isEmpty():
+            return done
+        order, longer = longer, max(order + longer, 2)
 
 
 def url_filter(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "url") -> DataFrame:
@@ -102,20 +97,23 @@ def url_filter(pages: DataFrame, rules=RULES, key: str = "page_id", url: str = "
     host, path = host_path(F.col(url))
     rows = pages.select(key, host.alias("host"), path.alias("path"))
     rule, says = longest_rule(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "says": says})
     address = F.concat("host", "path")
-    rows = rows.withColumn("cells", F.when(F.length(address) > 0, cells(address)))
-    taught = rows.filter(F.length(address) > 0).select(F.coalesce("says", F.lit("allow")).alias("verdict"), address.alias("address"), "cells")
-    fold = F.pmod(F.crc32(F.col("address")), F.lit(FOLDS)) == HELD_OUT
-    model = log_ratios(taught.filter(~fold)).scalar()
-
-    def score(of: str):
-        total = F.aggregate(of, F.lit(0.0), lambda acc, c: acc + F.coalesce(F.get("model", c), F.lit(0.0)))
-        return F.round(total / F.size(of), 6)
+    rows = rows.withColumns({"rule": rule, "says": says, "address": address})
+    verdict = F.coalesce("says", F.lit("allow"))
+    # an address has one verdict, so rows that share it are counted together
+    taught = rows.filter(F.length("address") > 0).groupBy("address").agg(F.min(verdict).alias("verdict"), F.count("*").alias("many"), F.bool_or(F.col("says").isNull()).alias("asked"))
+    taught = written(taught.withColumn("held", F.pmod(F.crc32(F.col("address")), F.lit(FOLDS)) == HELD_OUT), "addresses")
+    seen = [F.sum(F.when((F.col("verdict") == v) & ~F.col("held"), F.col("many")).otherwise(0)).alias(v) for v in ("allow", "block")]
+    ratios = log_ratios(places(taught).groupBy("before", "symbol").agg(*seen))
+    # what is asked: rows without a rule, and the held-out accepted ones for the threshold
+    asked = taught.filter(F.col("asked") | (F.col("held") & (F.col("verdict") == "allow")))
+    total = places(asked).join(ratios, ["before", "symbol"]).groupBy("address").agg(F.round(F.sum(F.col("ratio").cast("decimal(28,9)")).cast("double") / F.count("*"), 6).alias("score"))
+    scores = written(asked.join(total, "address"), "scores")
 
     # the threshold that blocks at most FALSE_BLOCKS of held-out accepted URLs, but never more than 0
-    held = taught.filter(fold & (F.col("verdict") == "allow")).withColumn("model", model).select(F.round(score("cells"), 3).alias("score"))
-    limit = held.agg(F.least(F.lit(0.0), F.coalesce(F.round(F.percentile("score", F.lit(FALSE_BLOCKS)), 3), F.lit(0.0))).alias("t")).scalar()
-    out = rows.withColumn("model", model).withColumn("score", F.when(F.col("says").isNull(), F.coalesce(score("cells"), F.lit(0.0))))
+    held = scores.filter(F.col("held") & (F.col("verdict") == "allow")).select(F.round("score", 3).alias("score"), "many")
+    limit = held.agg(F.least(F.lit(0.0), F.coalesce(F.round(F.percentile("score", F.lit(FALSE_BLOCKS), F.col("many")), 3), F.lit(0.0))).alias("t")).scalar()
+    own = scores.select(F.col("address").alias("of"), F.col("score").alias("found"))
+    out = rows.join(own, F.col("address") == F.col("of"), "left").withColumn("score", F.when(F.col("says").isNull(), F.coalesce("found", F.lit(0.0))))
     verdict = F.coalesce("says", F.when(F.round("score", 3) >= limit, "allow").otherwise("block"))
     return out.select(key, "host", "path", "rule", verdict.alias("verdict"), "score")

@@ -101,6 +101,48 @@ def test_url_filter(spark):
     assert url_filter(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_models_of_any_order(spark):
+    import math
+
+    from lexforge.llm.url_filter import LEAST, log_ratios, url_filter
+
+    # case, marks and letters that are no ASCII ones tell addresses apart; so does a letter far before
+    urls = [f"http://{h}.com/en/{i}{x}" for i in range(30) for h, x in (("a", "_"), ("b", "é"))] + [f"http://{h}.org/fr/{i}{x}" for i in range(30) for h, x in (("a", "~"), ("b", "É"))]
+    odd = ["http://c.org/fr/1_", "http://c.org/fr/1~", "http://c.org/fr/1é", "http://c.org/fr/1É"]
+    rows = {r.page_id: r for r in url_filter(spark.createDataFrame(list(enumerate(odd + urls)), "page_id long, url string")).collect()}
+    assert len({rows[i].score for i in range(4)}) > 2 and rows[0].score < rows[1].score and len(rows) == len(urls) + 4
+
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(list("abé"), rng.integers(1, 9))) + "/common/tail" for _ in range(40)]
+    edges = defaultdict(lambda: [0, 0])
+    for n, t in enumerate(texts):
+        for i in range(len(t) + 1):
+            edges[t[:i], t[i : i + 1]][n % 2] += 1
+    symbols = {s for _, s in edges}
+
+    def key(before, order):
+        return "^" + before if len(before) < order else "." + before[len(before) - order :]
+
+    def ratio(before, symbol):
+        p, order, longer, alive = [1 / (len(symbols) + 1)] * 2, 0, 1, dict(edges)
+        while True:
+            same = defaultdict(lambda: [0, 0])
+            for (b, s), w in alive.items():
+                if key(b, order) == key(before, order):
+                    same[s] = [x + y for x, y in zip(same[s], w, strict=True)]
+            n = [sum(w[v] for w in same.values()) for v in (0, 1)]
+            t = [sum(w[v] > 0 for w in same.values()) for v in (0, 1)]
+            p = [(same[symbol][v] + t[v] * p[v]) / (n[v] + t[v]) if n[v] else p[v] for v in (0, 1)]
+            if len(before) < order or sum(n) < LEAST:
+                return math.log(p[0]) - math.log(p[1])
+            order, longer = longer, max(order + longer, 2)
+
+    got = log_ratios(spark.createDataFrame([(*k, *w) for k, w in edges.items()], "before string, symbol string, allow long, block long")).collect()
+    assert len(got) == len(edges)
+    for r in got:
+        assert abs(r.ratio - ratio(r.before, r.symbol)) < 1e-8, r
+
+
 def test_secrets_of_odd_rows(spark):
     from lexforge.llm.secrets import redacted, secret_scan
 
