@@ -10,6 +10,9 @@ from lexforge.functions.text import rewrite
 HEADING = r"(?s)^(#{1,2} )(\d+)([א-ת]?)((?:\([^)]+\))*)(\.)(.*)$"
 OLD_ANCHOR = r"""(?U)\s*(?:\{#section-\d+\}|<span id="section-\d+" />)"""
 
+#: An index that an earlier pass put in: its first bullet with what stands before it, then bullet by bullet.
+OLD_INDEX = r"(?:\n+(?:##+ (?:Sidenotes|הערות גיליון)\n\n?)?|(?<=\n)\G)- \[[^\]]*\]\(#section-\d+\)\n"
+
 
 def explode_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, pos, line)"""
@@ -40,7 +43,7 @@ def carried(lines: DataFrame, anchor: str = "anchor", key: str = "doc_id") -> Da
 def margin_notes(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     """(key, pos, current, note): one-line quotes under an anchor."""
     notes = carried(lines, key=key).filter(F.col("line").startswith("> ") & F.col("current").isNotNull())
-    return notes.select(key, "pos", "current", F.trim(F.substring("line", 3, 100000)).alias("note"))
+    return notes.select(key, "pos", "current", F.trim(F.expr("substring(line, 3)")).alias("note")).filter("note <> ''")
 
 
 def margin_index(lines: DataFrame, key: str = "doc_id", title: str = "## Sidenotes") -> DataFrame:
@@ -50,6 +53,14 @@ def margin_index(lines: DataFrame, key: str = "doc_id", title: str = "## Sidenot
     return rebuild(notes, key, "index").withColumn("index", F.concat(F.lit(f"\n\n{title}\n\n"), "index"))
 
 
+def with_margin_index(docs: DataFrame, lines: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every document without an old index and, where its lines hold margin notes, with a new one at its end."""
+    clean = F.regexp_replace(text, OLD_INDEX, "")
+    ended = F.concat(F.regexp_replace(clean, r"(?U)\s+$", ""), F.col("index"), F.lit("\n"))
+    met = docs.join(margin_index(lines, key), key, "left")
+    return met.withColumn(text, F.when(F.col("index").isNull(), clean).otherwise(ended)).select(*docs.columns)
+
+
 def linked_references(lines: DataFrame, known: DataFrame, pattern: str, number: str = r"(\d+)", key: str = "doc_id") -> DataFrame:
     """References whose number is a section of the same document become links; quoted lines stay.
 

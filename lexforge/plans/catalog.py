@@ -352,6 +352,14 @@ def r22_margin_index(t):
     return lines.margin_index(rows.withColumn("line", F.when(F.col("line").startswith("A"), F.concat(F.lit("> "), "line")).otherwise(F.col("line"))))
 
 
+@query()
+def r22_margin_index_whole(t):
+    """All documents, an old index stripped and the new one put at the end: r22_margin_index gives the indexes alone."""
+    rows = lines.explode_lines(t.documents).withColumn("anchor", F.when(F.col("line").startswith("T"), F.concat(F.lit("section-"), F.col("pos").cast("string"))))
+    rows = rows.withColumn("line", F.when(F.col("line").startswith("A"), F.concat(F.lit("> "), "line")).otherwise(F.col("line")))
+    return lines.with_margin_index(lines.rebuild(rows), rows)
+
+
 @query(f"""
 WITH l AS ({_LINES}), n AS (SELECT doc_id, max(pos) + 1 AS n FROM l GROUP BY 1)
 SELECT l.doc_id, CAST(pos AS INTEGER) AS pos, CASE WHEN line LIKE '>%' THEN line WHEN pos % 7 < n.n THEN line || ' [§ ' || CAST(pos % 7 + 0 AS VARCHAR) || '](#section-' || CAST(pos % 7 AS VARCHAR) || ')' ELSE line || ' § ' || CAST(pos % 7 AS VARCHAR) END AS line

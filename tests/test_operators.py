@@ -98,6 +98,17 @@ def test_braces_of_whole_texts(spark, tmp_path):
     assert got == {i: ("{t}".replace("t", t).replace("{", "\\{").replace("}", "\\}"), "{" + t + "}") for i, t in enumerate(texts)}
 
 
+def test_margin_index_of_whole_documents(spark, tmp_path):
+    from lexforge.plans import registry
+
+    old = "\n\n## Sidenotes\n\n" + "".join(f"- [n{i}](#section-{i})\n" for i in range(5000))
+    texts = ["Title\nA" + "b" * 120000 + "\n", "no notes" + old + "end", "Title\nAn old note" + old, "- [x](#section-1)\nkept", "A note before any title"]
+    index = lambda note: f"\n\n## Sidenotes\n\n- [{note}](#section-0)\n"
+    got = {r.doc_id: r.text for r in registry.queries()["r22_margin_index_whole"](spark, documents(spark, tmp_path, texts)).collect()}
+    long = "A" + "b" * 120000
+    assert got == {0: f"Title\n> {long}" + index(long), 1: "no notesend", 2: "Title\n> An old note" + index("An old note"), 3: texts[3], 4: "> A note before any title"}
+
+
 def test_dictionary_links_longest_first(spark):
     docs = spark.createDataFrame([(1, "Tax Act and Tax Act (No 2), [Tax Act](x)")], "doc_id long, text string")
     names = spark.createDataFrame([("Tax Act", "u1"), ("Tax Act (No 2)", "u$2")], "name string, url string")
