@@ -60,6 +60,11 @@ class UnitCoder:
     def _slow(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _stays_one(body: str) -> bool:
+        """Whether letters stay letters when normalised: some decompose into a letter and a mark, where words are cut."""
+        return not ("Σ" in body or "İ" in body) and unicodedata.normalize("NFC", body).isalpha()
+
     def _word(self, unit: str) -> bytes:
         """Ids of one unit whose body is letters only: one piece for the model."""
         if not self.spaced:
@@ -78,7 +83,7 @@ class UnitCoder:
                 continue
             body = u.rstrip(_ENDS)
             bare = body[1:] if self.spaced and body[:1] == " " else body
-            if bare.isalpha() and len(u) < 64 and (self.spaced or bare.isascii() or not ("Σ" in bare or "İ" in bare)):
+            if bare.isalpha() and len(u) < 64 and (self.spaced or bare.isascii() or self._stays_one(bare)):
                 if body is not u and body != u:
                     end = u[len(body):]
                     if (tail := now.get(end)) is None:
@@ -106,8 +111,7 @@ class UnitCoder:
                 at += 1
             if len(self.now) > self.most:
                 self.old, self.now = self.now, {"": b""}
-            for units in parts:
-                self._learn(set(units).difference(self.now))
+            self._learn(set().union(*parts).difference(self.now))
             find = self.now.__getitem__
             out += [b"".join(map(find, units)) for units in parts]
         return out
