@@ -49,27 +49,28 @@ def _frequencies(counts: np.ndarray) -> np.ndarray:
 
 def encode_segment(ids: np.ndarray, sizes: np.ndarray) -> bytes:
     """One segment: all ids of its documents and each document's count."""
-    symbols, index, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    freq = _frequencies(counts.astype(np.int64))
+    counts = np.bincount(ids)  # as long as the vocabulary
+    symbols = np.flatnonzero(counts)
+    freq = _frequencies(counts[symbols])
     start = np.cumsum(freq) - freq
     per = LANES * STEPS
     blocks = -(-len(ids) // per)
-    grid = np.zeros(blocks * per, np.int64)  # the last block is filled up with the first symbol
-    grid[: len(ids)] = index
+    grid = np.full(blocks * per, symbols[0] if len(symbols) else 0, ids.dtype)  # the last block is filled up with the first symbol
+    grid[: len(ids)] = ids
     grid = grid.reshape(blocks, STEPS, LANES)
-    freq64, start64 = freq.astype(np.uint64), start.astype(np.uint64)
+    of_id = np.zeros((2, max(len(counts), 1)), np.uint32)  # frequency and start by id
+    of_id[0, symbols], of_id[1, symbols] = freq, start
     state = np.full((blocks, LANES), _LOW, np.uint64)
-    mask = np.zeros((STEPS, blocks, LANES), bool)
-    word = np.zeros((STEPS, blocks, LANES), np.uint32)
+    mask = np.zeros((blocks, STEPS, LANES), bool)
+    word = np.zeros((blocks, STEPS, LANES), "<u4")
     for t in range(STEPS - 1, -1, -1):
-        f, s = freq64[grid[:, t]], start64[grid[:, t]]
+        f, s = of_id[:, grid[:, t]].astype(np.uint64)
         out = state >= (f << np.uint64(63 - BITS))
-        mask[t], word[t] = out, state.astype(np.uint32)
-        state = np.where(out, state >> np.uint64(32), state)
+        mask[:, t], word[:, t] = out, state.astype(np.uint32)
+        state >>= out.astype(np.uint64) << np.uint64(5)
         q = state // f
-        state = (q << np.uint64(BITS)) + (state - q * f) + s
-    mask, word = mask.transpose(1, 0, 2), word.transpose(1, 0, 2)
-    words = word[mask].astype("<u4")
+        state += q * (np.uint64(1 << BITS) - f) + s
+    words = word[mask]
     lens = mask.reshape(blocks, -1).sum(1)
     first = np.cumsum(lens) - lens
     crcs = [zlib.crc32(words[a : a + n].tobytes(), zlib.crc32(state[b].astype("<u8").tobytes())) for b, (a, n) in enumerate(zip(first, lens, strict=True))]
