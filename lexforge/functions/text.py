@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Fixed: a year suffix of a Hebrew law title, and the marks that a lookup key drops.
 YEAR_SUFFIX = r"""(?U),\s*ה?תש[א-ת]*"[א-ת]-\d{4}$"""
@@ -40,12 +42,12 @@ def rewrite(text: Column, pattern: str, each: Callable[[Column], Column]) -> Col
 
 
 def split_frontmatter(text: Column) -> tuple[Column, Column]:
-    """(block, body): the block reaches from a leading "---" through the next line that begins with "---"."""
+    """(block, body): the block reaches from a leading "---" through the next line that begins with "---" and the line
+    feed right behind those three, so block and body put together are the text."""
     close = F.locate("\n---", text, 4)
     fenced = text.startswith("---") & (close > 0)
-    body = F.substring(text, close + 4, F.length(text))
-    body = F.when(body.startswith("\n"), F.substring(body, F.lit(2), F.length(body))).otherwise(body)
-    return F.when(fenced, F.substring(text, F.lit(1), close + 3)).otherwise(F.lit("")), F.when(fenced, body).otherwise(text)
+    end = close + 3 + F.when(F.substring(text, close + 4, F.lit(1)) == "\n", 1).otherwise(0)
+    return F.when(fenced, F.substring(text, F.lit(1), end)).otherwise(F.lit("")), F.when(fenced, F.substring(text, end + 1, F.length(text))).otherwise(text)
 
 
 def render_frontmatter(lines: Column) -> Column:
@@ -120,13 +122,14 @@ def unescape_braces(c: Column) -> Column:
 
 def undecorated(c: Column) -> Column:
     """Rendered text without footnote marks, anchors, status notes, link targets, brackets and bold."""
-    for pattern in (
+    for pattern in (  # fixed values: the patterns and their order
         r"\[\^[^\]]+\]",
         r'<span id="[^"]*" */>',
         r" \(repealed(?: for [^)]+)?\)",
         r" \[(REPEALED|NOT YET IN FORCE — prospective)\]",
         r"\]\((?:https?://[^)]*|\./[a-zA-Z0-9_-]+\.md(?:#[a-zA-Z0-9_-]+)?|#[a-zA-Z0-9_-]+|)\)",
-        r"[\[\]]|\*\*",
+        r"[\[\]]",
+        r"\*\*",
     ):
         c = F.regexp_replace(c, pattern, "")
     return squeeze(unescape_braces(c))
@@ -140,7 +143,7 @@ def valid_number(c: Column) -> Column:
 
 def clean_ocr(c: Column) -> Column:
     """Text without what optical recognition leaves behind."""
-    for pattern, to in (
+    for pattern, to in (  # fixed values: the patterns and their order
         ("[\u200e\u200f\u202a-\u202e\u2066-\u2069]", ""),
         (r"(?U)\(\s*[₪$€£]\s*\)", ""),
         (r"(?U)(?<!\w)₪(?!\w)", ""),
@@ -158,7 +161,7 @@ def clean_ocr(c: Column) -> Column:
 
 def clean_rtl(c: Column) -> Column:
     """Right-to-left text without what extraction from laid-out pages leaves behind."""
-    for pattern, to in (
+    for pattern, to in (  # fixed values: the patterns and their order
         ("([א-ת])\u00ad([א-ת])", "$1-$2"),
         ("(?U)(?<!\\w)\u00ad(\\d+)\\b", "[^$1]"),
         ("(?U)\\b(\\d+)\u00ad(?!\\w)", "[^$1]"),
@@ -192,11 +195,63 @@ def chunks(c: Column, size: int) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.substring(c, i * size + 1, F.lit(size)))
 
 
+@F.pandas_udf(StringType())
+def _ascii(texts: pd.Series) -> pd.Series:
+    """Compatibility decomposition without what isn't ASCII: no built-in function decomposes letters."""
+    return texts.str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
+
+
 def slug(name: Column, key: Column) -> Column:
-    """ASCII slug of a title, the id where nothing is left (as of Hebrew titles)."""
-    bare = F.regexp_replace(F.lower(strip_year(name)), r"[^a-z0-9]+", "-")
-    bare = F.regexp_replace(bare, "^-+|-+$", "")
-    return F.when(bare != "", bare).otherwise(F.concat(F.lit("law-"), key.cast("string")))
+    """ASCII slug of a title with its kind in front and its year behind; the id where no letter is left."""
+    text = F.regexp_replace(F.regexp_replace(strip(name), "[\u05b0-\u05c7]", ""), r"""[:\.,;()\[\]"'״׳]""", " ")
+    basic, law = text.rlike("^חוק[- ]יסוד"), text.startswith("חוק")
+    kind = F.when(basic, "basic-law-").when(law, "law-").otherwise("")
+    bare = F.when(basic, F.regexp_replace(text, r"(?U)^חוק.יסוד\s*", "")).when(law, F.regexp_replace(text, r"(?U)^חוק\s*", "")).otherwise(text)
+    year = F.regexp_extract(name, r"(?U)(\d{4})", 1)
+    plain = F.regexp_replace(F.regexp_replace(_ascii(bare), r"[^a-zA-Z0-9\s-]", ""), r"^\s+|\s+$", "")
+    plain = F.regexp_replace(F.regexp_replace(F.lower(plain), r"[\s-]+", "-"), "^-+|-+$", "")
+    ended = F.concat(kind, plain, F.when(year != "", F.concat(F.lit("-"), year)).otherwise(""))
+    by_id = F.concat(F.when(kind == "", "law-").otherwise(kind), key.cast("string"))
+    return F.lower(F.regexp_replace(F.when(plain == "", by_id).otherwise(ended), "-+", "-"))
+
+
+def title_category(name: Column) -> Column:
+    """The category that a title's first words tell."""
+    return F.when(strip(name).rlike("^חוק[- ]יסוד"), "basic-laws").otherwise("civil-law")
+
+
+def hebrew_year(footnotes: Column) -> Column:
+    """The first year in Hebrew letters in an array of footnotes, null where there is none."""
+    return F.nullif(F.regexp_extract(F.array_join(footnotes, " "), 'ה?ת[שרקצפ][א-ת]"[א-ת]', 0), F.lit(""))
+
+
+def tidy(c: Column) -> Column:
+    """Plain hyphens, no space before closing punctuation, single spaces, subsection marks in straight brackets."""
+    for pattern, to in (
+        ("\u00ad", "-"),
+        (r"[ \t]+([.,;:])", "$1"),
+        (r"\)([א-ת]{1,2}|\d{1,3})\(", "($1)"),
+        (" {2,}", " "),
+    ):
+        c = F.regexp_replace(c, pattern, to)
+    return c
+
+
+def without_margin_prefix(line: Column, phrases: Column) -> Column:
+    """A list line without the margin note that recognition put before it.
+
+    The longest of the known phrases that the line begins with goes; then up to six words before a section number go,
+    unless they end a sentence or hold a bracket.
+    """
+    s = strip(line)
+    fitting = F.filter(phrases, lambda p: F.startswith(s, p) & (F.length(p) < F.length(s) - 1))
+    by_length = F.array_sort(F.transform(fitting, lambda p: F.struct((-F.length(p)).alias("n"), p.alias("p"))))
+    first = F.get(by_length, F.lit(0))["p"]
+    s = F.when(first.isNotNull(), F.regexp_replace(F.substring(s, F.length(first) + 1, F.length(s)), "^[ ,.|-]+", "")).otherwise(s)
+    at = F.regexp_instr(s, F.lit(r"(?U)(?<![\d.])(\d{1,2})(?:\s*\.)?\s+(?=[\(א-ת])"))
+    lead = strip(F.substring(s, F.lit(1), at - 1))
+    short = (lead != "") & (F.size(F.split(lead, r"(?U)\s+")) <= 6) & ~lead.rlike("[.:;]$") & ~F.contains(lead, F.lit("("))
+    return F.when((at > 1) & short, F.substring(s, at, F.length(s))).otherwise(s)
 
 
 def year_of(c: Column) -> Column:

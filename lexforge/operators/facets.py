@@ -23,6 +23,21 @@ def facet_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(F.explode(pairs).alias("x")).groupBy("x.facet", "x.value").agg(F.count("*").alias("n"))
 
 
+def with_facets(items: DataFrame, facets: DataFrame, key: str, **missing: object) -> DataFrame:
+    """Items with their facet row, the given values where there is none."""
+    met = items.join(facets, key, "left")
+    return met.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in missing.items()})
+
+
+def facet_row(block: Column, categories: dict[str, str], ministries: dict[int, str]) -> Column:
+    """struct(year, category, minister, status) of a law's frontmatter, for browsing."""
+    from lexforge.functions.text import field, int_list, year_of
+
+    label = F.create_map(*(F.lit(x) for pair in categories.items() for x in pair))[F.coalesce(field(block, "category"), F.lit(""))]
+    fields = {"year": year_of(field(block, "publication_date")), "category": F.coalesce(label, field(block, "category")), "minister": first_mapped(int_list(block, "ministry_ids"), ministries), "status": field(block, "law_validity")}
+    return F.struct(*(c.alias(n) for n, c in fields.items()))
+
+
 def ordered_groups(counts: DataFrame) -> DataFrame:
     """Groups in order: numbers by size, other keys by Hebrew collation, Other last."""
     return counts.orderBy("facet", F.col("value") == "Other", F.expr("try_cast(value AS INT)").asc_nulls_last(), F.collate("value", "he"))

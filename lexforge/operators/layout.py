@@ -13,42 +13,88 @@ def gap_clusters(rows: DataFrame, keys: list[str], y: str, tie: str, gap: float)
     return rows.withColumn("_new", new).withColumn("cluster", F.sum("_new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
 
+def _folded(rows: DataFrame, keys: list[str], order: list, schema: str, fold) -> DataFrame:
+    """An ordered fold over the rows of each key, in sorted partitions: linear, and no group is held in memory.
+
+    fold is a generator function; it gets (key, row) pairs in order, rows as tuples, and yields rows of schema.
+    """
+    import pyarrow as pa
+
+    width = len(keys)
+
+    def run(batches):
+        def pairs():
+            for b in batches:
+                for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    yield row[:width], row[width:]
+
+        out = []
+        kinds = pa.schema(empty)
+        for r in fold(pairs()):
+            out.append(r)
+            if len(out) == 8192:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), kinds, strict=True)], schema=kinds)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    empty = list(to_arrow_schema(rows.sparkSession.createDataFrame([], schema).schema))
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def _kinds(rows: DataFrame, names: list[str]) -> str:
+    return ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
+
+
 def start_clusters(rows: DataFrame, keys: list[str], y: str, tie: str, tolerance: float) -> DataFrame:
-    """(keys, tie, cluster): rows of a page within tolerance of the first y of their cluster, by an ordered fold."""
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(y).cast("double").alias("y"), F.col(tie).alias("tie"))))
-    kind = rows.schema[tie].dataType.simpleString()
-    first = F.struct(F.lit(None).cast("double").alias("top"), F.lit(0).alias("n"), F.array().cast(f"array<struct<tie:{kind},cluster:int>>").alias("out"))
+    """(keys, tie, cluster): rows of a page within tolerance of the first y of their cluster."""
 
-    def step(acc, x):
-        new = acc["top"].isNull() | (x["y"] - acc["top"] > tolerance)
-        n = F.when(new, acc["n"] + 1).otherwise(acc["n"])
-        return F.struct(F.when(new, x["y"]).otherwise(acc["top"]).alias("top"), n.alias("n"), F.concat(acc["out"], F.array(F.struct(x["tie"].alias("tie"), n.alias("cluster")))).alias("out"))
+    def fold(pairs):
+        page, top, n = None, None, 0
+        for key, (at, name) in pairs:
+            if key != page:
+                page, top, n = key, None, 0
+            if top is None or at - top > tolerance:
+                top, n = at, n + 1
+            yield (*key, name, n)
 
-    folded = rows.groupBy(*keys).agg(ordered.alias("_rows")).select(*keys, F.aggregate("_rows", first, step, lambda a: a["out"]).alias("_out"))
-    return folded.select(*keys, F.inline("_out")).withColumnRenamed("tie", tie)
+    some = rows.select(*keys, F.col(y).cast("double").alias("_y"), F.col(tie))
+    return _folded(some, keys, ["_y", tie], f"{_kinds(rows, [*keys, tie])}, cluster int", fold)
 
 
 def merged_boxes(boxes: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
-    """Boxes (x0, top, x1, bottom, text) whose top and bottom lie within tolerance of the box before grow into it."""
-    fields = "struct<top:double,bottom:double,x0:double,x1:double,text:string>"
-    ordered = F.array_sort(F.collect_list(F.struct("top", "bottom", "x0", "x1", "text")))
+    """Boxes (x0, top, x1, bottom, text) whose top and bottom lie within tolerance of the box before grow into it.
+
+    On a line the box farthest to the right comes first; boxes without text are never merged.
+    """
 
-    def step(acc, b):
-        last = F.try_element_at(acc, F.lit(-1))
-        same = (F.size(acc) > 0) & (F.abs(b["top"] - last["top"]) <= tolerance) & (F.abs(b["bottom"] - last["bottom"]) <= tolerance)
-        grown = F.struct(F.least(last["top"], b["top"]).alias("top"), F.greatest(last["bottom"], b["bottom"]).alias("bottom"), F.least(last["x0"], b["x0"]).alias("x0"), F.greatest(last["x1"], b["x1"]).alias("x1"), F.concat_ws(" ", last["text"], b["text"]).alias("text"))
-        kept = F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))
-        return F.when(same, F.concat(kept, F.array(grown))).otherwise(F.concat(acc, F.array(b)))
+    def fold(pairs):
+        page, last = None, None
+        for key, (_, top, bottom, x0, x1, text) in pairs:
+            if last and key == page and text and last[4] and abs(top - last[0]) <= tolerance and abs(bottom - last[1]) <= tolerance:
+                last = [min(last[0], top), max(last[1], bottom), min(last[2], x0), max(last[3], x1), f"{last[4]} {text}"]
+                continue
+            if last:
+                yield (*page, *last)
+            page, last = key, [top, bottom, x0, x1, text]
+        if last:
+            yield (*page, *last)
 
-    return boxes.groupBy(*keys).agg(F.aggregate(ordered, F.array().cast(f"array<{fields}>"), step).alias("b")).select(*keys, F.inline("b"))
+    some = boxes.select(*keys, (-F.col("x0").cast("double")).alias("_right"), *(F.col(c).cast("double").alias(c) for c in ("top", "bottom", "x0", "x1")), "text")
+    return _folded(some, keys, ["top", "_right", "bottom", "x1", "text"], f"{_kinds(boxes, keys)}, top double, bottom double, x0 double, x1 double, text string", fold)
 
 
 def notes_at_rows(notes: DataFrame, rows: DataFrame, keys: list[str], slack: float = 4) -> DataFrame:
-    """Each note with the first row at or below note_y - slack (null: the page's end), by one sort and no pairs."""
+    """Each note with the first row at or below note_y - slack (null: the page's end), by one sort and no pairs.
+
+    The sort runs up the page, so the window takes the last row met and its frame only ever grows.
+    """
     both = notes.select(*keys, (F.col("note_y") - slack).alias("y"), F.lit(0).alias("side"), "note_id", F.lit(None).cast("double").alias("row_y"))
     both = both.unionByName(rows.select(*keys, F.col("row_y").alias("y"), F.lit(1).alias("side"), F.lit(None).cast(notes.schema["note_id"].dataType).alias("note_id"), F.col("row_y").cast("double").alias("row_y")))
-    ahead = Window.partitionBy(*keys).orderBy("y", "side").rowsBetween(0, Window.unboundedFollowing)
-    return both.withColumn("at", F.first("row_y", ignorenulls=True).over(ahead)).filter("side = 0").select(*keys, "note_id", "at")
+    ahead = Window.partitionBy(*keys).orderBy(F.col("y").desc(), F.col("side").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return both.withColumn("at", F.last("row_y", ignorenulls=True).over(ahead)).filter("side = 0").select(*keys, "note_id", "at")
 
 
 def commonest(rows: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
@@ -67,3 +113,132 @@ def row_text(words: DataFrame, keys: list[str], x: str = "x", text: str = "text"
 def zoned(x, width, low: float = 0.18, high: float = 0.82):
     """Whether a place lies in a margin of the page."""
     return (x < width * low) | (x > width * high)
+
+
+# ---------------------------------------------------------------- pages of spans
+
+#: Fixed: kinds of layout elements in tagged output, and the grid that their places lie on.
+ELEMENTS = r"(?s)<(section_header_level_\d+|list_item|text|footnote|page_footer|caption|title)><loc_(\d+)><loc_(\d+)><loc_(\d+)><loc_(\d+)>(.*?)</\1>"
+GRID = 500
+
+
+def elements(docs: DataFrame, key: str = "doc_id", tags: str = "tags") -> DataFrame:
+    """(key, pos, kind, text, x0, y0, x1, y1) of the elements in tagged layout output, in order."""
+    part = lambda i: F.regexp_extract_all(tags, F.lit(ELEMENTS), F.lit(i))
+    names = ("kind", "x0", "y0", "x1", "y1", "text")
+    rows = docs.select(key, F.posexplode(F.arrays_zip(*(part(i + 1).alias(n) for i, n in enumerate(names)))).alias("pos", "e"))
+    return rows.select(key, "pos", "e.kind", "e.text", *(F.col(f"e.{c}").cast("double").alias(c) for c in names[1:5]))
+
+
+def span_lines(spans: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, line, y0, x0, x1, size, text): lines of spans, by the least size of a span that isn't blank.
+
+    spans: keys, line, span (its number), x0, y0, x1, size, text; a line of blank spans goes.
+    """
+    solid = F.trim("text") != ""
+    joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("span", "text"))), lambda s: s["text"]), "")
+    lines = spans.groupBy(*keys, "line").agg(F.min("y0").alias("y0"), F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.round(F.min(F.when(solid, F.col("size"))), 1).alias("size"), joined.alias("text"))
+    return lines.filter("size is not null")
+
+
+def classified(lines: DataFrame, keys: list[str], width: float, low: float = 0.18) -> DataFrame:
+    """Lines with column margin: smaller than the commonest size of their page and wholly within an outer zone."""
+    body = commonest(lines, keys, "size", "line").select(*keys, F.col("size").alias("_body"))
+    small = F.col("size") < F.col("_body")
+    out = (F.col("x1") < width * low) | (F.col("x0") > width * (1 - low))
+    return lines.join(body, keys).withColumn("margin", small & out).drop("_body")
+
+
+def page_rows(lines: DataFrame, keys: list[str], tolerance: float = 4) -> DataFrame:
+    """(keys, row, y, text): body lines as visual rows, their lines from right to left."""
+    body = lines.filter("not margin")
+    placed = start_clusters(body, keys, "y0", "line", tolerance).withColumnRenamed("cluster", "row")
+    met = body.join(placed, [*keys, "line"])
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("x0")).alias("x"), "y0", "line", "text")))
+    return met.groupBy(*keys, "row").agg(F.min("y0").alias("y"), F.array_join(F.transform(ordered, lambda w: w["text"]), " ").alias("text"))
+
+
+def page_notes(lines: DataFrame, keys: list[str], gap: float = 14) -> DataFrame:
+    """(keys, note_id, note_y, text): margin lines that follow each other closely, as one note."""
+    placed = gap_clusters(lines.filter("margin"), keys, "y0", "line", gap)
+    ordered = F.array_sort(F.collect_list(F.struct("y0", "line", F.trim("text").alias("text"))))
+    return placed.groupBy(*keys, F.col("cluster").alias("note_id")).agg(F.min("y0").alias("note_y"), F.array_join(F.transform(ordered, lambda w: w["text"]), " ").alias("text"))
+
+
+def page_markdown(lines: DataFrame, key: str = "doc_id", page: str = "page", gap: float = 14) -> DataFrame:
+    """(key, text): classified lines as Markdown, each note as a quote before its row, pages a blank line apart.
+
+    A row that lies more than gap below the row before it begins a paragraph; notes below the last row end the page.
+    """
+    keys = [key, page]
+    rows, notes = page_rows(lines, keys), page_notes(lines, keys)
+    at = notes_at_rows(notes, rows.withColumnRenamed("y", "row_y"), keys)
+    end = F.lit(float("inf"))
+    items = rows.select(*keys, F.col("y").alias("at"), F.lit(1).alias("kind"), F.col("y").alias("own"), "text")
+    placed = notes.join(at, [*keys, "note_id"]).select(*keys, F.coalesce("at", end).alias("at"), F.lit(0).alias("kind"), F.col("note_y").alias("own"), F.concat(F.lit("> *"), F.trim("text"), F.lit("*")).alias("text"))
+    items = items.unionByName(placed)
+    by = Window.partitionBy(*keys).orderBy("at", "kind", "own", "text")
+    before = F.lag("kind").over(by)
+    last = F.col("at") == end
+    far = F.col("own") - F.lag("own").over(by) > gap
+    blank = F.when(F.col("kind") == 1, (before == 1) & far).otherwise((before == 1) | ((before == 0) & last))
+    parts = F.array_compact(F.array(F.when(blank, F.lit("")), F.col("text"), F.when((F.col("kind") == 0) & ~last, F.lit(""))))
+    shown = items.withColumn("parts", parts).withColumn("n", F.row_number().over(by))
+    pages = shown.groupBy(*keys).agg(F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "parts"))), lambda x: x["parts"])), "\n").alias("text"))
+    return pages.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(page, "text"))), lambda x: x["text"]), "\n\n").alias("text"))
+
+
+def syntax_tree(items: DataFrame, clean, key: str = "doc_id", zone: float = 0.82) -> DataFrame:
+    """(key, part, pos, text, x0, y0, x1, y1): elements sorted into the parts of a law, as elements() gives them.
+
+    Texts in the right margin are notes if they mean something; list items are sections, without the notes that
+    recognition put before them; the last section header is the title. Sections and other texts on a line are merged.
+    clean: the column function that cleans a text.
+    """
+    from lexforge.functions.text import meaningful, without_margin_prefix
+
+    texts = items.withColumn("text", clean(F.col("text")))
+    aside = (F.col("kind") == "text") & (F.col("x0") >= GRID * zone)
+    notes = texts.filter(aside & meaningful(F.col("text")))
+    phrases = notes.groupBy(key).agg(F.collect_set("text").alias("_phrases"))
+    rest = texts.filter(~aside & (F.col("text") != "")).join(phrases, key, "left")
+    no_phrases = F.array().cast("array<string>")
+    kind = F.when(F.col("kind").startswith("section_header"), "title").when(F.col("kind") == "list_item", "section").when(F.col("kind") == "footnote", "footnote").when(F.col("kind") == "page_footer", "artifact").when(F.col("kind") == "text", "auxiliary")
+    rest = rest.withColumn("text", F.when(F.col("kind") == "list_item", without_margin_prefix(F.col("text"), F.coalesce("_phrases", no_phrases))).otherwise(F.col("text")))
+    rest = rest.withColumn("part", kind).filter("part is not null").drop("_phrases", "kind")
+    columns = [key, "part", "pos", "text", "x0", "y0", "x1", "y1"]
+    latest = F.row_number().over(Window.partitionBy(key).orderBy(F.col("pos").desc()))
+    title = rest.filter("part = 'title'").withColumn("_n", latest).filter("_n = 1")
+    boxes = rest.filter("part in ('section', 'auxiliary')").withColumnsRenamed({"y0": "top", "y1": "bottom"})
+    merged = merged_boxes(boxes, [key, "part"], 3).withColumnsRenamed({"top": "y0", "bottom": "y1"})
+    order = Window.partitionBy(key, "part").orderBy("y0", F.col("x0").desc(), "text")
+    merged = merged.withColumn("pos", F.row_number().over(order) - 1)
+    plain = rest.filter("part in ('footnote', 'artifact')").unionByName(title.drop("_n")).unionByName(notes.withColumn("part", F.lit("note")).drop("kind"))
+    return plain.select(*columns).unionByName(merged.select(*columns))
+
+
+#: Fixed: the parts of a law in order, their headings, and how their entries are written.
+PARTS = (("title", None, "# ", ""), ("section", "## Full Text", "", ""), ("auxiliary", "## Signatures", "", ""), ("note", "## Margin Notes", "- ", ""), ("footnote", "## Footnotes", "", ""), ("artifact", "<!-- page artifacts (excluded from main rendering) -->", "<!-- ", " -->"))
+
+
+def tree_markdown(parts: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, body): the parts of a law that syntax_tree() gives as Markdown."""
+    of = lambda name: F.array_sort(F.collect_list(F.when(F.col("part") == name, F.struct("pos", "text"))))
+    rows = parts.groupBy(key).agg(*(of(name).alias(name) for name, *_ in PARTS))
+    wrapped = lambda before, after: lambda x: F.concat(F.lit(before), x["text"], F.lit(after))
+    blocks = []
+    for name, heading, before, after in PARTS:
+        shown = F.transform(name, wrapped(before, after))
+        spaced = F.flatten(F.transform(shown, lambda x: F.array(x, F.lit(""))))
+        none = F.array().cast("array<string>")
+        if name == "title":
+            block = F.concat(shown, F.array(F.lit("")))
+        elif name == "section":
+            block = F.concat(F.array(F.lit(heading), F.lit("")), spaced)
+        elif name == "artifact":
+            block = F.when(F.size(name) > 0, F.concat(F.array(F.lit(heading)), shown)).otherwise(none)
+        else:
+            entries = F.concat(shown, F.array(F.lit(""))) if name == "note" else spaced
+            block = F.when(F.size(name) > 0, F.concat(F.array(F.lit(heading), F.lit("")), entries)).otherwise(none)
+        blocks.append(block)
+    return rows.select(key, F.concat(F.array_join(F.concat(*blocks), "\n"), F.lit("\n")).alias("body"))

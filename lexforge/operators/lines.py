@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from lexforge.functions.text import rewrite
 
+#: Fixed: a numbered heading, the anchors of earlier passes, references to sections and the links made of them.
 HEADING = r"(?s)^(#{1,2} )(\d+)([א-ת]?)((?:\([^)]+\))*)(\.)(.*)$"
 OLD_ANCHOR = r"""(?U)\s*(?:\{#section-\d+\}|<span id="section-\d+" />)"""
 
+REFERENCE = r"(?<![/א-ת\[#])([לבמכ]?(?:סעיף|סעיפים|סעיפי))\s+(\d+)(?!\d)([א-ת]?(?:\([^)]+\))*)(?![א-ת]?\s+ל(?:חוק(?!\s+זה)|פקודת|תקנות|דבר\s+המלך))"
+REFERENCE_LINK = r"\[([לבמכ]?(?:סעיף|סעיפים|סעיפי)\s+\d+[א-ת]?(?:\([^)]+\))*)\]\(#section-\d+\)"
+
 #: An index that an earlier pass put in: its first bullet with what stands before it, then bullet by bullet.
 OLD_INDEX = r"(?:\n+(?:##+ (?:Sidenotes|הערות גיליון)\n\n?)?|(?<=\n)\G)- \[[^\]]*\]\(#section-\d+\)\n"
 
@@ -61,41 +65,105 @@ def with_margin_index(docs: DataFrame, lines: DataFrame, key: str = "doc_id", te
     return met.withColumn(text, F.when(F.col("index").isNull(), clean).otherwise(ended)).select(*docs.columns)
 
 
-def linked_references(lines: DataFrame, known: DataFrame, pattern: str, number: str = r"(\d+)", key: str = "doc_id") -> DataFrame:
+def linked_references(lines: DataFrame, known: DataFrame, pattern: str, number: str = r"(\d+)", key: str = "doc_id", old: str | None = None) -> DataFrame:
     """References whose number is a section of the same document become links; quoted lines stay.
 
-    known: (key, num) of sections. A document's numbers are gathered once and joined to its lines.
+    known: (key, num) of sections. Only the numbers that lines name are joined to the sections, a row each, so a
+    document's sections are never copied to its lines. old: links of an earlier pass, undone first (pattern, its
+    group 1 being the words); documents without any section stay as they are.
     """
-    sections = known.groupBy(key).agg(F.collect_set("num").alias("_nums"))
-    met = lines.join(sections, key, "left")
+    sections = known.select(key, F.col("num").alias("_num")).distinct()
+    body = lines
+    if old:
+        numbered = sections.select(key).distinct().withColumn("_any", F.lit(True))
+        body = lines.join(numbered, key, "left").withColumn("line", F.when(F.col("_any"), F.regexp_replace("line", old, "$1")).otherwise(F.col("line"))).drop("_any")
+    named = F.transform(F.regexp_extract_all("line", F.lit(pattern), F.lit(0)), lambda m: F.regexp_extract(m, number, 1))
+    asked = body.filter(~F.col("line").startswith(">") & F.col("line").rlike(pattern)).select(key, "pos", F.explode(F.array_distinct(named)).alias("_num"))
+    found = asked.join(sections, [key, "_num"], "left_semi").groupBy(key, "pos").agg(F.collect_list("_num").alias("_nums"))
+    met = body.join(found, [key, "pos"], "left")
 
     def link(m: Column) -> Column:
         n = F.regexp_extract(m, number, 1)
-        return F.when(F.array_contains("_nums", n), F.concat(F.lit("["), m, F.lit("](#section-"), n, F.lit(")"))).otherwise(m)
+        shown = F.regexp_replace(m, r"\s+(\d)", " $1")
+        return F.when(F.array_contains("_nums", n), F.concat(F.lit("["), shown, F.lit("](#section-"), n, F.lit(")"))).otherwise(m)
+
+    lined = F.when(F.col("_nums").isNull(), F.col("line")).otherwise(rewrite(F.col("line"), pattern, link))
+    return met.withColumn("line", lined).select(*lines.columns)
+
+
+def section_links(lines: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Lines that section_anchors() gave anchors, with references to sections of the document as links."""
+    known = lines.filter("anchor is not null").select(key, F.regexp_extract("anchor", r"(\d+)", 1).alias("num"))
+    return linked_references(lines, known, REFERENCE, key=key, old=REFERENCE_LINK)
 
-    lined = F.when(F.col("line").startswith(">") | F.col("_nums").isNull(), F.col("line")).otherwise(rewrite(F.col("line"), pattern, link))
-    return met.withColumn("line", lined).drop("_nums")
 
+def found_names(docs: DataFrame, names: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, name) of the names that occur in a text, wherever a word they begin or end in starts or ends.
 
-def dictionary_links(docs: DataFrame, names: DataFrame, text: str = "text") -> DataFrame:
+    Any number of names will do. The words inside a name, between its first and its last, must stand whole in the
+    text, so texts and names meet by an equi-join on runs of up to three of them; a name of one or two words
+    can lie within longer words, so it meets the words of the corpus that hold its longest word. Whole names are
+    then looked for in the texts that they met.
+    """
+    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    keyed = names.select("name").filter("name <> ''").distinct().withColumn("w", words(F.col("name")))
+    inner = keyed.filter((F.size("w") > 2) & (F.col("name") == F.trim("name")))
+    inner = inner.withColumn("m", F.least(F.size("w") - 2, F.lit(3))).select("name", "m", F.array_join(F.slice("w", F.lit(2), F.col("m")), " ").alias("run"))
+    sizes = [r.m for r in inner.select("m").distinct().collect()]  # of 1, 2 and 3
+    rows = docs.select(key, words(F.col(text)).alias("w"))
+    window = lambda m: lambda x, i: F.array_join(F.slice(F.col("w"), i + 1, F.lit(m)), " ")
+    met = None
+    for m in sorted(sizes):
+        some = rows.select(key, F.explode(F.array_distinct(F.transform("w", window(m)))).alias("run"))
+        hit = some.join(inner.filter(F.col("m") == m), "run").select(key, "name")
+        met = hit if met is None else met.unionByName(hit)
+    within = keyed.filter((F.size("w") <= 2) | (F.col("name") != F.trim("name")))
+    longest = F.array_max(F.transform("w", lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))
+    within = within.select("name", F.coalesce(longest["w"], F.lit("")).alias("part"))
+    lengths = [r.n for r in within.select(F.length("part").alias("n")).distinct().collect()]
+    if lengths:
+        stock = rows.select(F.explode("w").alias("word")).distinct()
+        cut = lambda n: lambda i: F.substring("word", i, F.lit(n))
+        places = lambda n: F.sequence(F.lit(1), F.greatest(F.length("word") - n + 1, F.lit(1)))
+        pieces = F.flatten(F.array(*(F.transform(places(n), cut(n)) for n in lengths)))
+        held = stock.select("word", F.explode(F.array_distinct(pieces)).alias("part")).join(within, "part").select("word", "name").distinct()
+        hit = rows.select(key, F.explode(F.array_distinct("w")).alias("word")).join(held, "word").select(key, "name")
+        met = hit if met is None else met.unionByName(hit)
+    if met is None:
+        return docs.select(key).limit(0).withColumn("name", F.lit(""))
+    return met.distinct().join(docs.select(key, text), key).filter(F.contains(text, F.col("name"))).select(key, "name")
+
+
+def dictionary_links(docs: DataFrame, names: DataFrame, key: str = "doc_id", text: str = "text", hosts: str | None = None) -> DataFrame:
     """Names (name, url) found in the text become links, longest first, in one pass; linked text is not touched.
 
-    names is a dimension table; it is checked to be small before it is put into one pattern.
+    Each document is searched for the names alone that found_names() gives for it. In one pass no name is linked
+    within the words of another's link; where names are replaced one after another, a shorter name in the middle of a
+    longer one is. hosts: a pattern; links to such hosts or to relative files that an earlier pass put in are undone
+    first. A name with two urls has the smallest.
     """
-    rows = [(r["name"], r["url"]) for r in names.orderBy(F.length("name").desc(), "name").limit(5001).collect()]
-    if not rows:
-        return docs
-    if len(rows) > 5000:
-        raise ValueError("dictionary_links takes at most 5000 names; split the dictionary")
-    escaped = "|".join("".join("\\" + c if c in r"\.[]{}()*+-?^$|#&~" else c for c in n) for n, _ in rows)
-    urls = F.create_map(*(F.lit(x) for pair in rows for x in pair))
-    linked = rewrite(F.col(text), rf"(?<!\[)(?:{escaped})(?!\]\()", lambda m: F.concat(F.lit("["), m, F.lit("]("), urls[m], F.lit(")")))
-    return docs.withColumn(text, linked)
+    plain = docs if hosts is None else docs.withColumn(text, unlinked(F.col(text), hosts))
+    one = names.groupBy("name").agg(F.min("url").alias("url"))
+    order = F.struct((-F.length("name")).alias("n"), "name", "url")
+    found = found_names(plain, one, key, text).join(one, "name").groupBy(key).agg(F.array_sort(F.collect_list(order)).alias("_names"))
+    met = plain.join(found, key, "left")
+    return met.withColumn(text, F.when(F.col("_names").isNull(), F.col(text)).otherwise(linked_names(F.col(text), F.col("_names"), "name"))).select(*docs.columns)
+
+
+def linked_names(text: Column, names: Column, name: str = "found") -> Column:
+    """The text with each of its own names, an ordered array of (name, url), as a link; linked words are left alone."""
+    escaped = F.transform(names, lambda x: F.regexp_replace(x[name], r"([\\.\[\]{}()*+\-?^$|#&~])", r"\\$1"))
+    pattern = F.concat(F.lit(r"(?<!\[)(?:"), F.array_join(escaped, "|"), F.lit(r")(?!\]\()"))
+    urls = F.map_from_entries(F.transform(names, lambda x: F.struct(x[name], x["url"])))
+    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
+    links = F.transform(hits, lambda m: F.concat(F.lit("["), m, F.lit("]("), F.element_at(urls, m), F.lit(")")))
+    return F.array_join(F.zip_with(gaps, links, lambda g, h: F.concat(F.coalesce(g, F.lit("")), F.coalesce(h, F.lit("")))), "")
 
 
 def unlinked(c: Column, hosts: str) -> Column:
-    """Text without links that an earlier pass put in (relative ones and ones to hosts, a pattern)."""
-    return F.regexp_replace(c, rf"\[([^\]]+)\]\((?:\./[^)]+\.md|https://(?:{hosts})[^)]*)\)", "$1")
+    """Text without links that an earlier pass put in: ones to numbered files, then ones to hosts (a pattern)."""
+    own = F.regexp_replace(c, r"\[([^\[\]]+)\]\(\./\d+\.md\)", "$1")
+    return F.regexp_replace(own, rf"\[([^\[\]]+)\]\(https://(?:{hosts})/[^)]+\)", "$1")
 
 
 def first_difference(a: DataFrame, b: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -51,7 +51,56 @@ def anchors_of(docs: DataFrame, key: str, text: str) -> DataFrame:
     return docs.select(key, F.explode(F.regexp_extract_all(text, F.lit(r'<span id="([^"]+)"'), F.lit(1))).alias("anchor"))
 
 
-def missing_texts(sources: DataFrame, rendered: DataFrame, key: str = "doc_id") -> DataFrame:
-    """(key, code, message) of source texts that the rendered document does not contain."""
-    met = sources.join(rendered, key).filter((F.col("source") != "") & ~F.contains(F.col("rendered"), F.col("source")))
+def missing_texts(sources: DataFrame, rendered: DataFrame, key: str = "doc_id", clean=None) -> DataFrame:
+    """(key, code, message) of source texts that the rendered document does not contain.
+
+    clean: a column function on the rendered text, put on once for each document that has sources.
+    """
+    asked = sources.filter("source <> ''")
+    texts = rendered.join(asked.select(key).distinct(), key, "left_semi")
+    if clean:
+        texts = texts.withColumn("rendered", clean(F.col("rendered")))
+    met = asked.join(texts, key).filter(~F.contains(F.col("rendered"), F.col("source")))
     return met.select(key, F.lit("ROUND_TRIP_MISSING").alias("code"), F.substring("source", 1, 80).alias("message"))
+
+
+def title_index(manifest: DataFrame, name: str = "name_he", pos: str = "pos", **values: str) -> DataFrame:
+    """(title, values) by the lookup key of a title, the last of equal ones."""
+    from lexforge.functions.text import title_key
+    from lexforge.operators.manifest import keep
+
+    rows = manifest.withColumn("title", title_key(F.coalesce(name, F.lit("")))).filter("title <> ''")
+    return keep(rows, ["title"], [F.col(pos).desc()]).select("title", *(F.col(c).alias(n) for n, c in values.items()))
+
+
+def pdf_index(manifest: DataFrame, converted: DataFrame, pos: str = "pos") -> DataFrame:
+    """(url, target): the converted law of each document address, the last of equal ones."""
+    from lexforge.operators.manifest import keep
+
+    rows = manifest.filter("pdf_url is not null and pdf_url <> ''").withColumn("target", F.col("law_id").cast("string"))
+    rows = rows.join(converted.select(F.col("law_id").cast("string").alias("target")).distinct(), "target", "left_semi")
+    return keep(rows, ["pdf_url"], [F.col(pos).desc()]).select(F.col("pdf_url").alias("url"), "target")
+
+
+def with_upgraded_links(docs: DataFrame, targets: DataFrame, host: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Documents whose links to known PDF addresses on a host (a pattern) are links to their own files, with n_upgraded.
+
+    Addresses are joined as rows, so the table of targets (url, target) may have any size.
+    """
+    from lexforge.functions.text import rewrite
+
+    pattern = rf"(?i)\[([^\]]+)\]\((https://{host}[^)]+\.PDF)\)"
+    urls = docs.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(2)))).alias("url"))
+    known = urls.join(targets, "url").filter(F.col("target") != F.col(key).cast("string")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("url", "target"))).alias("_known"))
+    met = docs.join(known, key, "left")
+    url = lambda m: F.regexp_extract(m, pattern, 2)
+    link = lambda m: F.concat(F.lit("["), F.regexp_extract(m, pattern, 1), F.lit("](./"), F.element_at("_known", url(m)), F.lit(".md)"))
+    hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(2))
+    counted = F.coalesce(F.size(F.filter(hits, lambda u: F.map_contains_key("_known", u))), F.lit(0))
+    lined = F.when(F.col("_known").isNull(), F.col(text)).otherwise(rewrite(F.col(text), pattern, lambda m: F.coalesce(link(m), m)))
+    return met.withColumn("n_upgraded", F.when(F.col("_known").isNull(), 0).otherwise(counted)).withColumn(text, lined).select(*docs.columns, "n_upgraded")
+
+
+def reference_counts(refs: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, n_internal, n_external) of resolved references."""
+    return refs.groupBy(key).agg(F.count_if("is_internal").alias("n_internal"), F.count_if(~F.col("is_internal")).alias("n_external"))

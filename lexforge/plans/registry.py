@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from lexforge.plans import catalog
+from lexforge.plans import catalog, documents  # noqa: F401 - documents registers its queries in catalog's tables
 
 
 def queries():

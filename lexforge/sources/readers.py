@@ -63,10 +63,12 @@ def extracted(pdfs: DataFrame, extract: Callable[[bytes], str]) -> DataFrame:
 
 
 class PagedService(DataSource):
-    """A paged JSON service: one partition per page range, equality and prefix filters sent along.
+    """A paged JSON service, read until its first empty page, equality and prefix filters sent along.
 
-    Options: url, page (rows a page), pages. The fetch function is taken from PagedService.fetch and gets
-    (url, filter text, skip, top); a page that fails three times fails its task, so no scan is silently partial.
+    Options: url, page (rows a page), pages (how many pages to read side by side, if their number is known; the rest
+    is read on by one task until a page is empty). A subclass gives the static method fetch, which gets (url,
+    filter text, skip, top); a page that fails three times fails its task, so no scan is silently partial. Filters are
+    sent along if spark.sql.python.filterPushdown.enabled is set, which the reader asks for.
     """
 
     fetch: Callable[[str, str, int, int], list[dict]] | None = None
@@ -85,7 +87,7 @@ class PagedService(DataSource):
 class _Pages(DataSourceReader):
     def __init__(self, schema, options, fetch):
         self.names, self.url, self.fetch = [f.name for f in schema.fields], options.get("url", ""), fetch
-        self.page, self.pages, self.filters = int(options.get("page", 100)), int(options.get("pages", 1)), []
+        self.page, self.pages, self.filters = int(options.get("page", 100)), int(options.get("pages", 0)), []
 
     def pushFilters(self, filters: list[Filter]) -> Iterator[Filter]:
         for f in filters:
@@ -97,18 +99,25 @@ class _Pages(DataSourceReader):
                 yield f
 
     def partitions(self):
-        return [InputPartition(i * self.page) for i in range(self.pages)]
+        return [InputPartition((i * self.page, i == self.pages)) for i in range(self.pages + 1)]
 
-    def read(self, partition):
+    def _page(self, skip: int) -> list[dict]:
         for attempt in range(3):
             try:
-                rows = self.fetch(self.url, " and ".join(self.filters), partition.value, self.page)
-                break
+                return self.fetch(self.url, " and ".join(self.filters), skip, self.page)
             except OSError:
                 if attempt == 2:
                     raise
-        for r in rows:
-            yield tuple(r.get(n) for n in self.names)
+        return []
+
+    def read(self, partition):
+        skip, on = partition.value
+        while rows := self._page(skip):
+            for r in rows:
+                yield tuple(r.get(n) for n in self.names)
+            if not on:
+                break
+            skip += self.page
 
 
 def literal(value) -> str:
@@ -133,3 +142,51 @@ def rendered_pages(pdfs: DataFrame, render: Callable[[bytes, float], list[bytes]
             yield pd.DataFrame(rows, columns=["path", "page", "image"])
 
     return pdfs.mapInPandas(run, "path string, page int, image binary")
+
+
+def fetched(batch: DataFrame, cache: DataFrame, fetch: Callable[[str], bytes], key: str = "url", delay: float = 0.0) -> DataFrame:
+    """(key, content, error) of the rows of a batch that the cache (key) lacks, with a pluggable fetcher.
+
+    With a delay the service asks for, one task fetches them all, that long apart; without, tasks fetch side by side.
+    A file that fails gives its error and no content, so nothing partial is kept.
+    """
+
+    def run(batches):
+        import time
+
+        for b in batches:
+            contents, errors = [], []
+            for address in b[key]:
+                try:
+                    contents.append(fetch(address))
+                    errors.append(None)
+                except Exception as e:  # noqa: BLE001 - the batch goes on
+                    contents.append(None)
+                    errors.append(f"{type(e).__name__}: {e}")
+                if delay:
+                    time.sleep(delay)
+            yield b[[key]].assign(content=contents, error=errors)
+
+    asked = batch.select(key).join(cache.select(key).distinct(), key, "left_anti")
+    return (asked.coalesce(1) if delay else asked).mapInPandas(run, f"`{key}` string, content binary, error string")
+
+
+def recognised_pages(pages: DataFrame, text: Callable[[bytes], str], layout: Callable[[bytes], str]) -> DataFrame:
+    """(path, page, text, layout) of page images with a pluggable recogniser: plain text, and its table of words."""
+
+    def run(batches):
+        for b in batches:
+            yield b[["path", "page"]].assign(text=[text(bytes(i)) for i in b["image"]], layout=[layout(bytes(i)) for i in b["image"]])
+
+    return pages.mapInPandas(run, "path string, page int, text string, layout string")
+
+
+def markdown_store(spark: SparkSession, path: str) -> DataFrame:
+    """The rows (doc_id, markdown) that markdown_sink() wrote."""
+    return spark.read.parquet(path).drop("bucket")
+
+
+def progress(spark: SparkSession, path: str) -> DataFrame:
+    """The latest state of each document in a table that progress_sink() appended to."""
+    rows = spark.read.parquet(path)
+    return rows.groupBy("doc_id").agg(F.max_by("state", "seq").alias("state"), F.max("seq").alias("seq"))

@@ -1,10 +1,11 @@
+import json
 import re
 
 from pyspark.sql import functions as F
 
 from lexforge.functions import text as T
-from lexforge.operators import layout, lines, links, manifest, tree
-from lexforge.sources import clml, readers
+from lexforge.operators import layout, lines, links, manifest, render
+from lexforge.sources import clml, readers, sinks
 
 XML = """<Legislation xmlns="http://x" NumberOfProvisions="3" RestrictExtent="E+W"><Metadata><title>Test Act</title><DocumentStatus Value="revised"/></Metadata>
 <Body><Part id="part-1"><Number>Part 1</Number><Title>General</Title><P1group><Title>Start</Title>
@@ -18,7 +19,7 @@ def one(spark, c):
 
 
 def test_frontmatter_cases(spark):
-    cases = {"": ("", ""), "no fence": ("", "no fence"), "---\na: 1\n---\nbody": ("---\na: 1\n---", "body"), "---\na: 1\n---\n\nbody": ("---\na: 1\n---", "\nbody"), "---\na: 1": ("", "---\na: 1"), "---\n---\nx": ("---\n---", "x")}
+    cases = {"": ("", ""), "no fence": ("", "no fence"), "---\na: 1\n---\nbody": ("---\na: 1\n---\n", "body"), "---\na: 1\n---\n\nbody": ("---\na: 1\n---\n", "\nbody"), "---\na: 1": ("", "---\na: 1"), "---\n---\nx": ("---\n---\n", "x")}
     for text, parts in cases.items():
         got = spark.createDataFrame([(text,)], "t string").select(*T.split_frontmatter(F.col("t"))).first()
         assert tuple(got) == parts, text
@@ -72,13 +73,13 @@ def test_all_lines_and_documents(spark, tmp_path):
             t = re.sub(pattern, to, t)
         return t.strip()
 
-    assert {r.doc_id: r.text for r in known["e05_clean_ocr"](spark, sf).collect()} == {i: cleaned(t) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in known["r33_clean_ocr"](spark, sf).collect()} == {i: cleaned(t) for i, t in enumerate(texts)}
     split = [(i, n, line) for i, t in enumerate(texts) for n, line in enumerate(t.split("\n"))]
     anchored = {(i, n): f'{f"# {n + 1}. {line}".rstrip()} <span id="section-{n + 1}" />' for i, n, line in split}
     assert {(r.doc_id, r.pos): r.line for r in known["r20_section_anchors"](spark, sf).collect()} == anchored
     last = {i: n for i, n, _ in split}
     linked = {(i, n): line if line.startswith(">") else f"{line} [§ {n % 7}](#section-{n % 7})" if n % 7 <= last[i] else f"{line} § {n % 7}" for i, n, line in split}
-    assert {(r.doc_id, r.pos): r.line for r in known["r21_section_links_whole"](spark, sf).collect()} == linked
+    assert {(r.doc_id, r.pos): r.line for r in known["r21_section_links"](spark, sf).collect()} == linked
 
 
 def test_all_files_by_status(spark, tmp_path):
@@ -86,7 +87,7 @@ def test_all_files_by_status(spark, tmp_path):
 
     orders = [(i, "FOP"[i % 3] if i % 10 else None) for i in range(1, 121)]
     spark.createDataFrame(orders, "o_orderkey long, o_orderstatus string").write.parquet(f"{tmp_path}/orders.parquet")
-    got = {tuple(r) for r in registry.queries()["a11_files_by_status_whole"](spark, str(tmp_path)).collect()}
+    got = {tuple(r) for r in registry.queries()["a11_files_by_status"](spark, str(tmp_path)).collect()}
     assert got == {(s, sum(x == s for _, x in orders), i) for i, s in orders}
 
 
@@ -94,7 +95,7 @@ def test_braces_of_whole_texts(spark, tmp_path):
     from lexforge.plans import registry
 
     texts = ["x" * 60 + " {a} {{b}\n}" + "y" * 20, "", "{" * 70]
-    got = {r.doc_id: (r.escaped, r.back) for r in registry.queries()["r16_escape_braces_whole"](spark, documents(spark, tmp_path, texts)).collect()}
+    got = {r.doc_id: (r.escaped, r.back) for r in registry.queries()["r16_escape_braces"](spark, documents(spark, tmp_path, texts)).collect()}
     assert got == {i: ("{t}".replace("t", t).replace("{", "\\{").replace("}", "\\}"), "{" + t + "}") for i, t in enumerate(texts)}
 
 
@@ -118,15 +119,16 @@ def test_dictionary_links_longest_first(spark):
 def test_legislation_xml(spark):
     rows = clml.parse(spark.createDataFrame([(1, XML), (2, "<broken")], "doc_id long, content string"))
     nodes = clml.provisions(rows.filter("doc_id = 1"))
-    assert {(r.kind, r.id) for r in nodes.collect()} == {("part", "part-1"), ("section", "section-1"), ("subsection", "section-1-1"), ("tail", None)}
-    md = tree.rendered(tree.block_lines(nodes)).first().markdown
-    assert md.index("A term and new text.") < md.index("Sub \\{one\\}.") < md.index("After.")
+    assert {(r.kind, r.id, r.level) for r in nodes.collect()} == {("part", "part-1", 1), ("section", "section-1", 2), ("subsection", "section-1-1", 3)}
     runs = [(r.kind, r.text) for r in rows.filter("row = 'run' and doc_id = 1").orderBy("path").collect()]
-    assert runs[:5] == [("text", "A "), ("term", "term"), ("text", " and "), ("addition", "new"), ("text", " text.")]
+    assert runs[:7] == [("text", "A "), ("term", "term"), ("text", " and "), ("open", None), ("text", "new"), ("close", None), ("text", " text.")]
     assert rows.filter("doc_id = 2").first().kind == "PARSE_ERROR"
+    slugs = spark.createDataFrame([], "doc_id long, slug string")
+    md = render.rendered(rows, slugs, "now").first().markdown
+    assert md.index("A term and [new][^fc1] text.") < md.index("Sub \\{one\\}.") < md.index("After.") < md.index("[^fc1]: [section-1](#section-1): Words inserted")
     source = rows.filter("row = 'source' and doc_id = 1").select("doc_id", F.col("text").alias("source"))
-    lost = links.missing_texts(source, spark.createDataFrame([(1, md)], "doc_id long, r string").select("doc_id", T.undecorated(F.col("r")).alias("rendered")))
-    assert [r.message for r in lost.collect()] == ["Words inserted"]
+    texts = spark.createDataFrame([(1, md.replace("Words", "Word"))], "doc_id long, rendered string")
+    assert [r.message for r in links.missing_texts(source, texts, clean=T.undecorated).collect()] == ["Words inserted"]
 
 
 def test_layout_folds(spark):
@@ -146,6 +148,43 @@ def test_readers(spark, tmp_path):
     assert spark.createDataFrame([("x\fy",)], "text string").transform(readers.page_text).count() == 2
 
 
+def test_paged_service_reads_until_a_page_is_empty(spark):
+    rows = [{"value": str(i)} for i in range(25)]
+
+    class Numbers(readers.PagedService):
+        fetch = staticmethod(lambda url, where, skip, top: rows[skip : skip + top])
+
+    spark.dataSource.register(Numbers)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    for pages in (None, 1, 2, 9):
+        reader = spark.read.format("paged_service").option("page", 10)
+        got = (reader.option("pages", pages) if pages else reader).load()
+        assert sorted(int(r.value) for r in got.collect()) == list(range(25)), pages
+
+
+def test_sinks(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"# {i}\nי") for i in range(40)], "doc_id long, markdown string")
+    sinks.markdown_sink(docs, str(tmp_path / "md"), buckets=4)
+    assert len([p for p in (tmp_path / "md").iterdir() if p.is_dir()]) == 4
+    assert {tuple(r) for r in readers.markdown_store(spark, str(tmp_path / "md")).collect()} == {tuple(r) for r in docs.collect()}
+    for seq, state in enumerate(("queued", "failed", "done")):
+        sinks.progress_sink(spark.createDataFrame([(1, state, seq)], "doc_id long, state string, seq long"), str(tmp_path / "p"))
+    assert [tuple(r) for r in readers.progress(spark, str(tmp_path / "p")).collect()] == [(1, "done", 2)]
+    text = sinks.catalog_text(spark.createDataFrame([(2, "ב"), (1, None)], "law_id long, name string"), "law_id").first().json
+    assert json.loads(text) == [{"law_id": 1, "name": None}, {"law_id": 2, "name": "ב"}] and "\n  " in text and "ב" in text
+
+
+def test_fetched_keeps_nothing_of_a_failed_file(spark):
+    def fetch(address):
+        if address == "b":
+            raise OSError("down")
+        return address.encode()
+
+    rows = lambda *x: spark.createDataFrame([(v,) for v in x], "url string")
+    got = {r.url: (r.content, r.error) for r in readers.fetched(rows("a", "b", "c"), rows("c"), fetch, delay=0.01).collect()}
+    assert got == {"a": (bytearray(b"a"), None), "b": (None, "OSError: down")}
+
+
 def test_stream_converts_new_files_once(spark, tmp_path):
     from lexforge.streaming.incremental import convert_new
 
