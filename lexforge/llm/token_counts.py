@@ -4,6 +4,11 @@ Distinct pre-tokens of a batch lie as one ragged numpy array of symbols. In ever
 lowest-ranked pair that it holds and merges all its places at once, left to right; a sequence without a ranked pair
 is done, and its surviving symbols are counted. Texts then add up the counts of their units.
 
+A sequence needs as many rounds as it merges different pairs, so a long one (text without white space) is cut into
+windows that merge side by side. A row of symbols is what merging a text gives if, and only if, every two neighbours are
+what merging their own text gives; so the cuts are right where the two symbols beside them stay two, and windows
+around other cuts are joined and merged again. Time is then linear in a text's length.
+
 Results: one row per input row, whatever its id (null, repeated); a null text counts as empty (0 bytes, 0 tokens);
 other columns of the input are ignored; an empty table gives an empty result.
 """
@@ -19,6 +24,9 @@ from pyspark.sql import DataFrame
 from lexforge.llm.units import _ENDS, byte_letters, byte_units
 
 
+LONG, WINDOW = 1024, 48
+
+
 class RankMerger:
     """Counts of byte-level pre-tokens under the merges of a tokenizers .json file."""
 
@@ -41,6 +49,8 @@ class RankMerger:
         self.maybe[self._slot(self.keys)] = True
         self.split = regex.compile(pattern).findall
         self.most, self.now, self.old = most, {"": 0}, {}
+        byte = {c: i for i, c in enumerate(letters)}
+        self.bytes = {n: bytes(byte[c] for c in t) for t, n in vocab.items() if all(c in byte for c in t)}
 
     @staticmethod
     def _slot(keys: np.ndarray) -> np.ndarray:
@@ -57,13 +67,60 @@ class RankMerger:
 
     def survivors(self, tokens: list[bytes]) -> np.ndarray:
         """Symbols left of each pre-token."""
+        out = self._merged([t if len(t) <= LONG else b"" for t in tokens])
+        for i, t in enumerate(tokens):
+            if len(t) > LONG:
+                out[i] = self._long(t)
+        return out
+
+    def _symbols(self, tokens: list[bytes]) -> list[np.ndarray]:
+        """The symbols left of each pre-token, some of them at a time."""
+        out, at = [], 0
+        while at < len(tokens):
+            end, size = at, 0
+            while end < len(tokens) and (end == at or size < 1_000_000):
+                size += len(tokens[end])
+                end += 1
+            held: list[tuple] = []
+            counts = self._merged(tokens[at:end], held)
+            seq = np.concatenate([s for s, _ in held])
+            sym = np.concatenate([x for _, x in held])[np.argsort(seq, kind="stable")]
+            out += np.split(sym, np.cumsum(counts)[:-1])
+            at = end
+        return out
+
+    def _long(self, token: bytes) -> int:
+        """Symbols left of a long pre-token, merged in windows whose cuts are proved or joined."""
+        parts = [token[i : i + WINDOW] for i in range(0, len(token), WINDOW)]
+        done = self._symbols(parts)
+        loose, proved = np.arange(len(parts) - 1), {}
+        while len(loose):
+            beside = [(int(done[i][-1]), int(done[i + 1][0])) for i in loose]
+            new = [p for p in dict.fromkeys(beside) if p not in proved]
+            for p, got in zip(new, self._symbols([self.bytes[a] + self.bytes[b] for a, b in new]), strict=True):
+                proved[p] = got.tolist() == [*p]
+            cut = np.ones(len(parts) + 1, bool)
+            cut[1:-1][loose[[not proved[p] for p in beside]]] = False
+            if cut.all():
+                break
+            first = np.flatnonzero(cut)
+            again = [k for k in range(len(first) - 1) if first[k + 1] - first[k] > 1]
+            whole = {k: b"".join(parts[first[k] : first[k + 1]]) for k in again}
+            made = dict(zip(again, self._symbols(list(whole.values())), strict=True))
+            parts = [whole.get(k, parts[first[k]]) for k in range(len(first) - 1)]
+            done = [made[k] if k in made else done[first[k]] for k in range(len(first) - 1)]
+            loose = np.array(sorted({i for k in again for i in (k - 1, k) if 0 <= i < len(parts) - 1}), np.int64)
+        return sum(map(len, done))
+
+    def _merged(self, tokens: list[bytes], held: list[tuple] | None = None) -> np.ndarray:
+        """Symbols left of each pre-token; held takes (pre-token, symbol) arrays of what is done."""
         sizes = np.array([len(t) for t in tokens], np.int64)
         out, none = sizes.copy(), len(self.keys)
         if not len(sizes) or not sizes.sum():
             return out
         sym = self.symbols[np.frombuffer(b"".join(tokens), np.uint8)]
         seq = np.repeat(np.arange(len(tokens)), sizes)
-        while len(sym) > 1:
+        while len(sym):
             rank = self._ranks(sym[:-1], sym[1:])
             rank[seq[:-1] != seq[1:]] = none
             rank = np.append(rank, none)
@@ -72,9 +129,11 @@ class RankMerger:
             runs = np.diff(np.append(starts, len(sym)))
             live = least < none
             out[seq[starts]] = runs
+            keep = np.repeat(live, runs)
+            if held is not None:
+                held.append((seq[~keep], sym[~keep]))
             if not live.any():
                 break
-            keep = np.repeat(live, runs)
             best = np.repeat(least, runs)[keep]
             sym, seq, rank = sym[keep], seq[keep], rank[keep]
             pick = rank == best

@@ -90,6 +90,44 @@ def test_token_counts(spark):
         assert r.n_tokens == len(encoded(BYTE, t)) and r.n_bytes == len((t or "").encode()) and r.over_limit == (r.n_tokens > 5)
 
 
+def test_token_counts_of_long_unbroken_texts():
+    from lexforge.llm.token_counts import RankMerger
+
+    rng = np.random.default_rng(1)
+    some = lambda letters, n: "".join(rng.choice(list(letters), n))
+    texts = [some("abcdefghijklmnopqrstuvwxyz", n) for n in (1024, 1025, 5000)] + ["a" * n for n in (1025, 5001)] + ["ab" * 1500, "aab" * 1500, "日本語" * 700, "é" * 1500, some("ab", 4000), some("aeiou", 4000), "=" * 2001 + "a" * 2000, "\x00" * 1500]
+    texts += ["".join(rng.choice(["the", "ing", "tion", "house", "legal", "er", "q", "zz"], 1000)) for _ in range(4)]
+    assert RankMerger(BYTE, P.PATTERN).count(texts) == [len(encoded(BYTE, t)) for t in texts]
+
+
+def test_token_counts_of_null_and_repeated_ids_and_no_rows(spark):
+    from lexforge.llm.token_counts import token_counts
+
+    rows = [(None, "one two", 1), (1, None, 2), (1, "a", 3), (1, "a", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
+    want = [(i, len((t or "").encode()), len(encoded(BYTE, t)), False) for i, t, _ in rows]
+    assert sorted(map(str, map(tuple, token_counts(docs, BYTE, P.PATTERN).collect()))) == sorted(map(str, want))
+    assert token_counts(docs.limit(0), BYTE, P.PATTERN).collect() == []
+
+
+def test_ids_of_every_letter_that_normal_forms_change():
+    """Some letters decompose when normalised, so that a word is cut within what looked like one."""
+    import unicodedata
+
+    from lexforge.llm.units import UnitCoder
+
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    odd = [c for c in letters if unicodedata.normalize("NFC", c) != c or c.lower() != c]
+    rng = np.random.default_rng(3)
+    other = list(rng.choice(letters, 4000))
+    texts = [t for a, b in zip([*odd, *other], rng.choice(letters, len(odd) + 4000), strict=True) for t in (a, f"x{a}", f"{a}b {b}{a}", f"ab {a}{a}, {b}{a}z.")]
+    for path, spaced in ((WORD, False), (BYTE, True)):
+        from tokenizers import Tokenizer
+
+        want = [np.array(x.ids, "<u4").tobytes() for x in Tokenizer.from_file(path).encode_batch_fast(texts, add_special_tokens=False)]
+        assert UnitCoder(path, spaced).encode(texts) == want
+
+
 def test_url_filter(spark):
     from lexforge.llm.url_filter import url_filter
 
@@ -241,12 +279,11 @@ def test_decontamination(spark):
     assert sorted(r.doc_id for r in without_leaks(table(spark, texts), bench).collect()) == [2, 3, 4, 5]
 
 
-@pytest.mark.parametrize("short", [48, 1])
-def test_ngram_join(spark, monkeypatch, short):
+@pytest.mark.parametrize("block", [1024, 3])
+def test_ngram_join(spark, monkeypatch, block):
     from lexforge.llm import ngram_join as n
 
-    monkeypatch.setattr(n, "SHORT_LIST", short)
-    monkeypatch.setattr(n, "BLOCK", 3)
+    monkeypatch.setattr(n, "BLOCK", block)
     rng = np.random.default_rng(4)
     base = [f"w{i}" for i in rng.integers(0, 500, 120)]
     texts = [None, "", " ", "one two", "ONE\ttwo", "one two three four five"]
@@ -265,6 +302,52 @@ def test_ngram_join(spark, monkeypatch, short):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {i: (len(s), want[i]) for i, s in enumerate(sets)}
 
 
+def test_ngram_join_of_texts_around_the_bound(spark):
+    """A large group whose pairs lie just below and just above 0.85, long texts, and very frequent words."""
+    from lexforge.llm.ngram_join import ngram_join
+
+    rng = np.random.default_rng(11)
+    texts = []
+    for size, edits, many in ((200, 5, 60), (400, 9, 60), (3000, 60, 12), (25, 1, 30)):
+        base = [f"w{i}" for i in rng.integers(0, 3000, size)]
+        for _ in range(many):
+            w = list(base)
+            for i in rng.integers(0, size, rng.integers(0, edits + 1)):
+                w[i] = f"v{rng.integers(0, 10**6)}"
+            texts.append(" ".join([*w, "the of and", "the of and"]))
+    sets = [{tuple(w[i : i + 4]) for i in range(len(w) - 3)} for w in (t.split() for t in texts)]
+    links = [(i, j) for i in range(len(texts)) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 85 * len(sets[i] | sets[j])]
+    want = groups(range(len(texts)), links)
+    rows = ngram_join(table(spark, texts), 4, 85).collect()
+    assert {r.doc_id: r.component_id for r in rows} == want
+
+
+def test_folded_rows_never_differ_more_than_their_sets():
+    from lexforge.llm.ngram_join import _folded
+
+    rng = np.random.default_rng(2)
+    for size in (0, 1, 30, 500, 5000):
+        a = np.unique(rng.integers(0, 1 << 63, size).astype(np.uint64))
+        b = np.unique(np.concatenate((a[size // 5 :], rng.integers(0, 1 << 63, size // 7).astype(np.uint64))))
+        for bits in (1024, 8192):
+            x, y = (_folded(s, bits).view(np.uint8) for s in (a, b))
+            assert np.bitwise_count(x ^ y).sum() <= len(np.setxor1d(a, b))
+        wide, narrow = _folded(a, 8192), _folded(a, 4096)
+        assert (np.bitwise_xor(*np.split(wide, 2)) == narrow).all()
+
+
+def test_ngram_join_without_rows_and_with_repeated_and_null_ids(spark):
+    from lexforge.llm.ngram_join import ngram_join
+
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert ngram_join(none).collect() == []
+    a, b = "a b c d e f g h", "q r s t u v w x"
+    rows = [(1, a), (1, b), (2, b), (None, a), (None, None), (3, a), (4, "")]
+    docs = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, id int, component_id string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join(docs).collect()}
+    assert got == {1: (4, 1), 2: (4, 1), 3: (4, 3), 4: (0, 4), None: (4, None)}
+
+
 def test_one_of_each_drops_links_only(spark):
     from lexforge.llm.ngram_join import one_of_each
 
