@@ -5,14 +5,20 @@ the wanted length that holds it. Every phrase reaches on over the length of such
 each string of the length lies whole in exactly one phrase, and equal strings lie in phrases with equal triggers,
 wherever they are: no phrase's set of strings is a part of another's by chance of cutting (the parse is prefix-free).
 
-The dictionary holds each distinct phrase once, at its first place. A repeated phrase repeats all its strings, so it
-is removed as one. Only phrases that differ but share a trigger can share some strings: these suffixes of the
-dictionary, cut at the wanted length, are put in order, and all but the first of equal ones are removed at the
-phrase's first place. The order is by hash instead of by letters, as nothing but equality over the length counts;
-dictionary and parse combine in the corpus order of first places.
+The parse is the table of phrases with their places; the dictionary holds each distinct phrase once, at its first
+place. A phrase that the parse repeats repeats all its strings, so it is removed as one (phrases are the same if their
+triggers, lengths and 64-bit digests are). Only phrases that differ but share a trigger can share some strings: for
+them, suffix arrays of the dictionary are made, trigger by trigger: all suffixes in the order of their letters, cut at
+the wanted length. Suffixes that stand beside each other are compared byte by byte, and the places of their phrases
+give the corpus order: all but the first of equal ones are removed.
+
+Phrases that one batch of documents repeats are settled within it, so a passage that a third of all documents
+hold is shuffled once a batch. A trigger with more than HOT phrases is dealt to LANES tasks by the place of the trigger
+in the string, which equal strings have in common.
 
 Results: one row per document id; rows that share an id count as the greatest text. A null text counts as empty; a
-null id sorts first. Other columns are ignored; an empty table gives an empty result.
+null id sorts first. Ids may be of any type that sorts. A very long text is parsed whole, in one task, with memory of
+about 60 bytes a byte. Other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,13 +27,14 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexforge.llm.common import one_row_per_id, written
-from lexforge.llm.shingles import range_hashes
+from lexforge.llm.shingles import mixed, range_hashes
 
-GRAM = 36
+GRAM, HOT, LANES, CHUNK = 36, 4096, 16, 300_000
 
 
 def _phrases(texts: list[bytes], length: int):
@@ -85,66 +92,160 @@ def kept_texts(docs: DataFrame, length: int = 100, key: str = "doc_id", text: st
     return _cut(docs, length, key, text, True)
 
 
+def _settled(order: np.ndarray, trigger: np.ndarray, digest: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether a phrase repeats one before it; order holds the phrases by their places."""
+    seen = np.zeros(len(order), bool)
+    by = np.lexsort((np.argsort(order), n, digest, trigger))
+    same = (trigger[by][1:] == trigger[by][:-1]) & (digest[by][1:] == digest[by][:-1]) & (n[by][1:] == n[by][:-1])
+    seen[by[1:][same]] = True
+    return seen
+
+
+def repeated_suffixes(bucket: np.ndarray, data: np.ndarray, at: np.ndarray, place: np.ndarray, length: int) -> np.ndarray:
+    """Which of the suffixes at places at of data, cut at length, stand in their bucket with an earlier one (by place).
+
+    The suffix array of each bucket is made by letters, of those suffixes alone whose hash another one has too.
+    """
+    out = np.zeros(len(at), bool)
+    if not len(at):
+        return out
+    low, high = int(at.min()), int(at.max()) + length
+    h = range_hashes(data[low:high], at - low, at - low + length)
+    by = np.lexsort((h, bucket))
+    same = (h[by][1:] == h[by][:-1]) & (bucket[by][1:] == bucket[by][:-1])
+    some = by[np.append(same, False) | np.append(False, same)]
+    if not len(some):
+        return out
+    rows = np.empty((len(some), 8 + length), np.uint8)
+    rows[:, :8] = bucket[some].astype(">u8")[:, None].view(np.uint8).reshape(len(some), 8)
+    rows[:, 8:] = np.lib.stride_tricks.sliding_window_view(data, length)[at[some]]
+    letters = rows.view(f"V{8 + length}").ravel()
+    array = np.argsort(letters, kind="stable")
+    new = np.append(True, letters[array][1:] != letters[array][:-1])
+    group = np.cumsum(new) - 1
+    first = np.full(group[-1] + 1, np.iinfo(np.int64).max)
+    np.minimum.at(first, group, place[some[array]])
+    out[some[array]] = place[some[array]] != first[group]
+    return out
+
+
 def _repeats(rows: DataFrame, length: int) -> DataFrame:
     """(id, start, end): byte ranges of rows (id, text) that occur earlier, in pieces that may overlap."""
+    kind = rows.schema["id"].dataType.simpleString()
 
     def parse(batches):
         for b in batches:
+            parts = []
             for at, texts in _some(b):
                 if (got := _phrases(texts, length)) is not None:
-                    owner, start, n, trigger, digest = got
-                    mark = (digest >> np.uint64(17)).astype(np.int64) << 16 | n
-                    yield pa.RecordBatch.from_arrays([pa.array(trigger.view(np.int64)), pa.array(mark), b.column("id").take(pa.array(owner + at)), pa.array(start)], ["trigger", "mark", "id", "start"])
+                    parts.append((got[0] + at, *got[1:]))
+            if not parts:
+                continue
+            owner, start, n, trigger, digest = (np.concatenate(c) for c in zip(*parts, strict=True))
+            ids = b.column("id")
+            rank = np.empty(b.num_rows, np.int64)
+            rank[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(b.num_rows)
+            known = _settled(np.lexsort((start, rank[owner])), trigger, digest, n)
+            # what is settled here needs no neighbours: it goes to a place of its own
+            key = np.where(known, mixed(trigger ^ mixed((rank[owner].astype(np.uint64) << np.uint64(32)) ^ start.astype(np.uint64))), trigger)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(known), ids.take(pa.array(owner)), pa.array(start)], ["trigger", "digest", "n", "known", "id", "start"])
 
-    phrases = rows.mapInArrow(parse, "trigger long, mark long, id long, start long")
-    by = Window.partitionBy("trigger").orderBy("mark", F.col("id").asc_nulls_first(), "start")
+    phrases = rows.mapInArrow(parse, f"trigger long, digest long, n int, known boolean, id {kind}, start long")
+    by = Window.partitionBy("trigger").orderBy("known", "digest", "n", F.col("id").asc_nulls_first(), "start")
     whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    seen = phrases.withColumns({"again": F.coalesce(F.lag("mark").over(by) == F.col("mark"), F.lit(False)), "mixed": F.first("mark").over(whole) != F.last("mark").over(whole)})
-    seen = seen.filter("again or mixed").select("id", "start", (F.col("mark").bitwiseAND(0xFFFF)).alias("n"), "again")
+    mark = F.when(~F.col("known"), F.struct("digest", "n"))
+    seen = phrases.withColumns({"again": F.col("known") | F.coalesce(F.lag(mark).over(by) == mark, F.lit(False)), "mixed": F.min(mark).over(whole) != F.max(mark).over(whole), "many": F.count("*").over(whole)})
+    seen = seen.filter("again or mixed").select("id", "start", "n", "again", "trigger", "many")
     seen = written(seen, "phrases")
 
-    # strings of distinct phrases that share a trigger
-    some = seen.filter("not again").groupBy("id").agg(F.collect_list(F.struct("start", "n")).alias("at"))
+    # phrases that differ from others with their trigger, with their bytes
+    some = seen.filter("not again").groupBy("id").agg(F.collect_list(F.struct("start", "n", "trigger", "many")).alias("at"))
     open_texts = rows.join(some, rows.id.eqNullSafe(some.id)).select(rows.id, "text", "at")
 
-    def expand(batches):
+    def fetch(batches):
         for b in batches:
+            out = []
             for i in range(b.num_rows):
-                data = np.frombuffer((b.column("text")[i].as_py() or "").encode(), np.uint8)
-                at = b.column("at")[i].values
-                first, n = at.field("start").to_numpy(), at.field("n").to_numpy()
-                for a in range(0, len(first), 4096):
-                    f, m = first[a : a + 4096], n[a : a + 4096]
-                    places = np.repeat(f - np.cumsum(m) + m, m) + np.arange(m.sum())
-                    # hashed from the earliest place on, so powers stay short
-                    low, high = places.min(), places.max() + length
-                    h = range_hashes(data[low:high], places - low, places - low + length)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), b.column("id").take(pa.array(np.full(len(places), i))), pa.array(places)], ["h", "id", "start"])
-
-    strings = open_texts.mapInArrow(expand, "h long, id long, start long")
-    order = Window.partitionBy("h").orderBy(F.col("id").asc_nulls_first(), "start")
-    later = strings.withColumn("place", F.row_number().over(order)).filter("place > 1")
-    return seen.filter("again").select("id", "start", (F.col("start") + F.col("n") + length - 1).alias("end")).unionByName(later.select("id", "start", (F.col("start") + length).alias("end")))
+                data = (b.column("text")[i].as_py() or "").encode()
+                for x in b.column("at")[i].as_py():
+                    hot = range(LANES) if x["many"] > HOT else (-1,)
+                    out += [(x["trigger"], lane, i, x["start"], x["n"], data[x["start"] : x["start"] + x["n"] + length - 1]) for lane in hot]
+                if len(out) > 50_000 or i == b.num_rows - 1 and out:
+                    trigger, lane, own, start, n, raw = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(trigger, pa.int64()), pa.array(lane, pa.int32()), b.column("id").take(pa.array(own)), pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(raw, pa.binary())], ["trigger", "lane", "id", "start", "n", "bytes"])
+                    out = []
+
+    dictionary = open_texts.mapInArrow(fetch, f"trigger long, lane int, id {kind}, start long, n int, bytes binary")
+
+    def sort(batches):
+        held, size, last = [], 0, None
+
+        def flush():
+            t = pa.Table.from_batches(held).combine_chunks()
+            n, lane = t["n"].to_numpy().astype(np.int64), t["lane"].to_numpy()
+            key = np.stack([t["trigger"].to_numpy(), lane.astype(np.int64)], 1)
+            bucket = np.cumsum(np.append(True, (key[1:] != key[:-1]).any(1)))
+            blob = t["bytes"].combine_chunks()
+            offset = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1].astype(np.int64)
+            data = np.frombuffer(blob.buffers()[2], np.uint8) if len(blob) else np.zeros(0, np.uint8)
+            begin = offset[:-1]
+            row = np.repeat(np.arange(len(n)), n)
+            j = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            if (lane >= 0).any():  # of a hot trigger, the strings of this lane alone
+                place = np.zeros(len(n), np.int64)
+                for r in np.flatnonzero(lane >= 0):
+                    grams = np.arange(begin[r], begin[r] + n[r] + length - GRAM)
+                    place[r] = np.argmax(range_hashes(data[grams[0] : grams[-1] + GRAM], grams - grams[0], grams - grams[0] + GRAM) == key[r, 0].view(np.uint64))
+                keep = (lane[row] < 0) | ((place[row] - j) % LANES == lane[row])
+                row, j = row[keep], j[keep]
+            ids = t["id"].combine_chunks()
+            order = np.empty(len(n), np.int64)
+            order[pc.sort_indices(pa.table({"i": ids, "s": t["start"]}), sort_keys=[("i", "ascending"), ("s", "ascending")], null_placement="at_start").to_numpy()] = np.arange(len(n))
+            # of places within one document the phrase's comes first, as phrases do not overlap in starts
+            gone = repeated_suffixes(bucket[row], data, begin[row] + j, order[row] * (1 << 32) + j, length)
+            row, j = row[gone], j[gone]
+            new = np.append(True, (row[1:] != row[:-1]) | (j[1:] > j[:-1] + length))
+            cuts = np.flatnonzero(new)
+            if not len(row):
+                return None
+            ends = np.append(cuts[1:], len(row)) - 1
+            start = t["start"].to_numpy()[row[cuts]]
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(row[cuts])), pa.array(start + j[cuts]), pa.array(start + j[ends] + length)], ["id", "start", "end"])
+
+        for b in batches:
+            key = np.stack([b.column("trigger").to_numpy(), b.column("lane").to_numpy().astype(np.int64)], 1)
+            cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
+            for a, z in zip(cuts, np.append(cuts[1:], len(key)), strict=True):
+                if size > CHUNK and (key[a] != last).any():
+                    if (out := flush()) is not None:
+                        yield out
+                    held, size = [], 0
+                part = b.slice(a, z - a)
+                held.append(part)
+                size += int(part.column("n").to_numpy().sum())
+                last = key[a]
+        if held and (out := flush()) is not None:
+            yield out
+
+    later = dictionary.repartition("trigger", "lane").sortWithinPartitions("trigger", "lane").mapInArrow(sort, f"id {kind}, start long, end long")
+    return seen.filter("again").select("id", "start", (F.col("start") + F.col("n") + length - 1).alias("end")).unionByName(later)
 
 
 def repeats(docs: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, spans): maximal byte ranges of each document that occur earlier."""
     rows = one_row_per_id(docs, key, text).toDF("id", "text")
-    ranges = _repeats(rows, length).groupBy("id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("r"))
-    first = F.array().cast("array<struct<start:bigint,end:bigint>>")
-
-    def step(acc, x):
-        top = F.element_at(acc, -1)
-        joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(top["start"].alias("start"), F.greatest(top["end"], x["end"]).alias("end"))))
-        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["end"] >= x["start"]), joined).otherwise(F.concat(acc, F.array(x)))
-
-    return ranges.select(F.col("id").alias(key), F.aggregate("r", first, step).alias("spans"))
+    by = Window.partitionBy("id").orderBy("start", "end")
+    ahead = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
+    cut = _repeats(rows, length).withColumn("new", F.coalesce((F.col("start") > ahead).cast("int"), F.lit(1)))
+    runs = cut.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0))).groupBy("id", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    return runs.groupBy(F.col("id").alias(key)).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
 
 
 def _cut(docs: DataFrame, length: int, key: str, text: str, whole: bool) -> DataFrame:
     rows = one_row_per_id(docs, key, text).toDF("id", "text")
     ranges = _repeats(rows, length).groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("r"))
     met = rows.join(ranges, rows.id.eqNullSafe(ranges.id), "left").select(rows.id, "text", "r")
+    kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for b in batches:
@@ -165,4 +266,4 @@ def _cut(docs: DataFrame, length: int, key: str, text: str, whole: bool) -> Data
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary() if whole else pa.string()]
             yield pa.RecordBatch.from_arrays([b.column("id"), *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True))], [key, "n_bytes", "n_removed", "n_spans", "kept" if whole else "kept_sha256"])
 
-    return met.mapInArrow(run, f"`{key}` long, n_bytes long, n_removed long, n_spans long, {'kept binary' if whole else 'kept_sha256 string'}")
+    return met.mapInArrow(run, f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, {'kept binary' if whole else 'kept_sha256 string'}")
