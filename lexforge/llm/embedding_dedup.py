@@ -1,51 +1,65 @@
 """Embedding near-dedup by a forest of random-projection trees.
 
 Equal vectors of a label are counted as one first. Each tree splits at random directions, recursively; a vector
-near a split goes to both sides (spill), so close pairs seldom part. The trees are fitted on a bounded sample
-(SAMPLE vectors) and index every row. Within a leaf all pairs of a label are compared, in blocks, in double
-precision; a pair that shares several leaves counts in the first of them only, so links are exact sums. Of the links
-in a leaf only a spanning forest leaves the task; components come from those.
+near a split goes to both sides (spill), so close pairs seldom part. The upper part of each tree is fitted on a bounded
+sample (SAMPLE vectors) and deals every row to cells; within its cell a tree splits on by further directions at the
+medians of the cell's own rows, so leaves stay small at any number of vectors. Within a leaf pairs of a label are
+compared in double precision, and only a spanning forest of the links leaves the task; components come from those.
+A leaf that no direction splits, as many rows lie close together, is compared through leaders: rows that link with a
+leader need no comparison among each other to be one component.
+
+Links are then counted within components, exactly: their rows are compared in blocks, two blocks a key, so that a
+large component is many tasks.
 
 Results: one row per vector id; rows that share an id count as one, the greatest vector of the greatest label.
 Vectors that are null, empty, zero, or hold null or non-finite components, and those without a label, link with
-nothing. A null id has a null component and is not kept. Other columns are ignored.
+nothing; so do vectors of different lengths. A null id has a null component and is not kept. Other columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexforge.llm.common import components, written
+from lexforge.llm.common import components, dropped, written
+
+#: Rows of the sample that upper trees are fitted on, dimensions that get upper trees (other ones have a cell a tree
+#: and label, split within it alike), trees, rows of a leaf, spill, rows of a block.
+SAMPLE, DIMENSIONS, TREES, LEAF, SPILL, BLOCK = 20_000, 100, 5, 64, 0.01, 512
+
 
-SAMPLE, TREES, LEAF, SPILL, BLOCK = 20_000, 5, 64, 0.01, 512
+def _way(seed: int, size: int) -> np.ndarray:
+    way = np.random.default_rng(seed).normal(size=size)
+    return way / np.linalg.norm(way)
 
 
 class Tree:
-    """Random splits at medians of a sample; at most so many leaves as the sample bears."""
+    """Random splits at medians; a node keeps the seed of its direction instead of the direction."""
 
-    def __init__(self, x: np.ndarray, leaf: int, rng: np.random.Generator):
-        self.nodes: list[tuple] = []  # (direction, cut, left, right) or (leaf number,)
-        self.leaves = 0
-        self._grow(x, np.arange(len(x)), leaf, rng, 0)
+    def __init__(self, x: np.ndarray, leaf: int, seed: int):
+        self.nodes: list[tuple] = []  # (seed, cut, left, right) or (leaf number,)
+        self.leaves, self.rows = 0, []
+        self._grow(x, np.arange(len(x)), leaf, seed, 0)
 
-    def _grow(self, x, rows, leaf, rng, depth) -> int:
+    def _grow(self, x, rows, leaf, seed, depth) -> int:
         at = len(self.nodes)
         self.nodes.append(())
-        if len(rows) > leaf and depth < 40:
-            for _ in range(4):  # a direction along which the rows lie apart
-                way = rng.normal(size=x.shape[1])
-                way /= np.linalg.norm(way)
-                p = x[rows] @ way
+        if len(rows) > leaf and depth < 60:
+            for k in range(4):  # a direction along which the rows lie apart
+                own = hash((seed, at, k)) & 0x7FFFFFFF
+                p = x[rows] @ _way(own, x.shape[1])
                 cut = np.median(p)
-                if np.mean(np.abs(p - cut) < SPILL) < 0.5:
-                    left = self._grow(x, rows[p < cut + SPILL], leaf, rng, depth + 1)
-                    right = self._grow(x, rows[p >= cut - SPILL], leaf, rng, depth + 1)
-                    self.nodes[at] = (way, cut, left, right)
+                low, high = p < cut + SPILL, p >= cut - SPILL
+                if low.sum() + high.sum() <= 1.5 * len(rows) and low.any() and high.any():
+                    left = self._grow(x, rows[low], leaf, seed, depth + 1)
+                    right = self._grow(x, rows[high], leaf, seed, depth + 1)
+                    self.nodes[at] = (own, cut, left, right)
                     return at
         self.nodes[at] = (self.leaves,)
+        self.rows.append(rows)
         self.leaves += 1
         return at
 
@@ -58,11 +72,70 @@ class Tree:
             if len(node) == 1:
                 out.append((rows, np.full(len(rows), node[0])))
             elif len(rows):
-                p = x[rows] @ node[0]
+                p = x[rows] @ _way(node[0], x.shape[1])
                 todo += [(node[2], rows[p < node[1] + SPILL]), (node[3], rows[p >= node[1] - SPILL])]
         return np.concatenate([r for r, _ in out]), np.concatenate([v for _, v in out])
 
 
+class Roots:
+    """Union of row numbers, the smallest being the root."""
+
+    def __init__(self, n: int):
+        self.of = np.arange(n)
+
+    def top(self, i: int) -> int:
+        while self.of[i] != i:
+            self.of[i] = self.of[self.of[i]]
+            i = self.of[i]
+        return int(i)
+
+    def join(self, i: int, j: int) -> None:
+        i, j = self.top(i), self.top(j)
+        self.of[max(i, j)] = min(i, j)
+
+
+def join_leaf(x: np.ndarray, rows: np.ndarray, least: float, roots: Roots) -> None:
+    """Joins the linked ones among some rows of x."""
+    if len(rows) <= BLOCK:
+        y = x[rows]
+        near = y @ y.T >= least
+        np.fill_diagonal(near, True)
+        if near.sum() == len(rows):
+            return
+        label = np.arange(len(rows))
+        while True:  # the smallest label next to each row, until none changes
+            new = np.where(near, label[None], len(rows)).min(1)
+            if (new == label).all():
+                break
+            label = new
+        for i in np.flatnonzero(label != np.arange(len(rows))):
+            roots.join(int(rows[i]), int(rows[label[i]]))
+        return
+    owner, leaders = np.full(len(rows), -1), []
+    while (free := np.flatnonzero(owner < 0)).size:
+        at = int(free[0])
+        hit = x[rows] @ x[rows[at]] >= least
+        hit[at] = True
+        for k in np.unique(owner[hit & (owner >= 0)]):
+            roots.join(int(rows[at]), int(rows[leaders[k]]))
+        owner[hit & (owner < 0)] = len(leaders)
+        leaders.append(at)
+    for i in np.flatnonzero(np.array(leaders)[owner] != np.arange(len(rows))):
+        roots.join(int(rows[i]), int(rows[leaders[owner[i]]]))
+    # rows of two leaders may link though neither leader does; not where the leaders lie more than three links apart
+    heads, far = x[rows[leaders]], np.cos(min(np.pi, 3 * np.arccos(min(1.0, least)))) - 1e-9
+    own = [rows[owner == k] for k in range(len(leaders))]
+    for k in range(len(leaders)):
+        for j in np.flatnonzero(heads[:k] @ heads[k] >= far):
+            if roots.top(int(own[k][0])) != roots.top(int(own[j][0])) and _meet(x, own[k], own[j], least):
+                roots.join(int(own[k][0]), int(own[j][0]))
+
+
+def _meet(x: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether any row of a links with one of b, in blocks."""
+    return any((x[a[i : i + BLOCK]] @ x[b[j : j + BLOCK]].T >= least).any() for i in range(0, len(a), BLOCK) for j in range(0, len(b), BLOCK))
+
+
 def _matrix(column) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False)
     return flat.reshape(len(column), -1).astype(np.float64)
@@ -86,15 +159,16 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", v
     usable = usable.withColumn("v", F.transform("v", lambda c: c + F.lit(0.0)))
     groups = usable.groupBy("label", "v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     groups = written(groups.withColumn("d", F.size("v")), "vectors")
-    sizes = [(r.d, r["count"]) for r in groups.groupBy("d").count().orderBy(F.desc("count")).limit(1000).collect()]
+    many = groups.groupBy("d").count().filter(F.col("count") > SAMPLE).orderBy(F.desc("count"), "d").limit(DIMENSIONS).collect()
 
     forests = {}
-    for d, n in sizes:
+    for d, n in ((r.d, r["count"]) for r in many):
         some = groups.filter(F.col("d") == d).orderBy(F.xxhash64("id")).limit(SAMPLE).select("v").toArrow()
         x = _unit(_matrix(some["v"].combine_chunks()))
-        leaf = max(8, LEAF * len(x) // max(n, 1)) if n > len(x) else LEAF
-        forests[d] = [Tree(x, leaf, np.random.default_rng(97 * t + d)) for t in range(TREES)]
-    shared = spark.sparkContext.broadcast(forests)
+        forests[d] = [Tree(x, max(4, 1024 * len(x) // n), 97 * t + d) for t in range(TREES)]
+        for tree in forests[d]:
+            tree.rows = []
+    shared = spark.sparkContext.broadcast(forests)  # seeds and cuts: under 0.2 MB a tree, of DIMENSIONS * TREES at most
 
     def place(batches):
         for b in batches:
@@ -102,63 +176,81 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", v
             for d in np.unique(ds):
                 some = b.filter(pa.array(ds == d))
                 x = _unit(_matrix(some.column("v")))
-                trees = [t.place(x) for t in shared.value.get(int(d), [])] or [(np.arange(len(x)), np.zeros(len(x), np.int64))]
+                trees = [t.place(x) for t in shared.value[int(d)]] if int(d) in shared.value else [(np.arange(len(x)), np.zeros(len(x), np.int64))] * TREES
                 row = np.concatenate([r for r, _ in trees])
                 cell = np.concatenate([v + (t << 40) for t, (_, v) in enumerate(trees)])
-                order = np.lexsort((cell, row))
-                row, cell = row[order], cell[order]
-                ends = np.searchsorted(row, np.arange(len(x) + 1))
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(cell))
-                yield pa.RecordBatch.from_arrays([*(some.column(c) for c in ("label", "d", "id", "copies", "v")), lists], ["label", "d", "id", "copies", "v", "cells"])
+                yield pa.RecordBatch.from_arrays([*(some.column(c).take(pa.array(row)) for c in ("label", "d", "id", "v")), pa.array(cell)], ["label", "d", "id", "v", "cell"])
 
     kind = rows.schema["label"].dataType.simpleString()
-    placed = groups.select("label", "d", "id", "copies", "v").mapInArrow(place, f"label {kind}, d int, id long, copies long, v array<double>, cells array<long>")
-    dealt = placed.withColumn("cell", F.explode("cells"))
+    dealt = groups.select("label", "d", "id", "v").mapInArrow(place, f"label {kind}, d int, id long, v array<double>, cell long")
 
     def compare(table: pa.Table) -> pa.Table:
-        ids, copies, cell = table["id"].to_numpy(), table["copies"].to_numpy(), table["cell"][0].as_py()
+        ids, cell = table["id"].to_numpy(), table["cell"][0].as_py()
         order = np.argsort(ids)
-        ids, copies = ids[order], copies[order]
+        ids = ids[order]
         x = _unit(_matrix(table["v"].combine_chunks().take(pa.array(order))))
-        cells = [c for c in table["cells"].combine_chunks().take(pa.array(order)).to_pylist()]
-        # numbers of the cells before this one, so that a shared earlier cell shows as an overlap
-        before = [frozenset(c for c in own if c < cell) for own in cells]
-        kinds = {s: i for i, s in enumerate(dict.fromkeys(before))}
-        names, kind = list(kinds), np.array([kinds[s] for s in before])
-        apart = np.array([[not (a & b) for b in names] for a in names]) if len(names) <= 2000 else None
-        links, root = np.zeros(len(ids), np.int64), np.arange(len(ids))
-
-        def top(i):
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        for a in range(0, len(ids), BLOCK):
-            for b in range(a, len(ids), BLOCK):
-                near = x[a : a + BLOCK] @ x[b : b + BLOCK].T >= least
-                if a == b:
-                    near = np.triu(near, 1)
-                i, j = np.nonzero(near)
-                i, j = i + a, j + b
-                first = apart[kind[i], kind[j]] if apart is not None else np.array([not (before[p] & before[q]) for p, q in zip(i, j, strict=True)], bool)
-                i, j = i[first], j[first]
-                np.add.at(links, i, copies[j])
-                np.add.at(links, j, copies[i])
-                for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                    p, q = top(p), top(q)
-                    if p != q:
-                        root[max(p, q)] = min(p, q)
-        heads = ids[[top(i) for i in range(len(ids))]]
-        some = (links > 0) | (heads != ids)
-        return pa.table({"id": ids[some], "head": heads[some], "links": links[some]})
-
-    edges = dealt.groupBy("label", "d", "cell").applyInArrow(compare, "id long, head long, links long")
-    edges = written(edges, "links")
-    part = components(edges.select("id", "head"), "id", "head")
-    counts = edges.groupBy("id").agg(F.sum("links").alias("links"))
-    heads = groups.select("label", "v", "id", "copies").join(counts, "id", "left").join(part, "id", "left")
+        roots = Roots(len(ids))
+        for own in Tree(x, LEAF, cell + 1).rows:
+            join_leaf(x, own, least, roots)
+        top = np.array([roots.top(i) for i in range(len(ids))])
+        some = top != np.arange(len(ids))
+        return pa.table({"id": ids[some], "head": ids[top[some]]})
+
+    edges = written(dealt.groupBy("label", "d", "cell").applyInArrow(compare, "id long, head long"), "links")
+    part = components(edges, "id", "head")
+    dropped(edges)
+    counts = written(_counted(groups.join(part.hint("merge"), "id"), least), "counts")
+    heads = groups.select("label", "v", "id", "copies").join(counts.hint("merge"), "id", "left")
     heads = heads.select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "id").alias("c"))
-    own = usable.select("id", "label", "v").join(heads, ["label", "v"]).select("id", "n", "c")
-    out = rows.select("id").join(own, "id", "left")
+    own = usable.select("id", "label", "v").join(heads.hint("merge"), ["label", "v"]).select("id", "n", "c")
+    out = rows.select("id").join(own.hint("merge"), "id", "left")
     return out.select(F.col("id").alias(key), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "id").alias("component_id"), F.coalesce(F.coalesce("c", "id") == F.col("id"), F.lit(False)).alias("kept"))
+
+
+def _counted(members: DataFrame, least: float) -> DataFrame:
+    """(id, component, links) of the members (id, component, v, copies) of components: links by all pairs, in blocks."""
+    order = Window.partitionBy("component").orderBy("id")
+    cut = members.select("component", "id", "v", "copies", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int").alias("own"))
+    cut = cut.withColumn("last", F.max("own").over(Window.partitionBy("component")))
+    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
+    dealt = dealt.select("component", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "id", "copies", "v")
+
+    def run(batches):
+        held, now = [], None
+
+        def product():
+            own, ids, copies = (np.concatenate([h[i] for h in held]) for i in range(3))
+            x = np.concatenate([h[3] for h in held])
+            left, right = np.flatnonzero(own == now[1]), np.flatnonzero(own == now[2])
+            near = x[left] @ x[right].T >= least
+            if now[1] == now[2]:
+                np.fill_diagonal(near, False)
+                return ids[left], near @ copies[right], now[0]
+            return np.concatenate((ids[left], ids[right])), np.concatenate((near @ copies[right], copies[left] @ near)), now[0]
+
+        def done(out):
+            i, n, c = ([o[k] for o in out] for k in range(3))
+            part = np.repeat(np.array(c, np.int64), [len(a) for a in i])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(i)), pa.array(part), pa.array(np.concatenate(n))], ["id", "component", "links"])
+
+        out = []
+        for b in batches:
+            key = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("component", "bi", "bj")], 1)
+            cuts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
+            for a, z in zip(cuts, np.append(cuts[1:], len(key)), strict=True):
+                if now is not None and (key[a] != now).any():
+                    out.append(product())
+                    held = []
+                now, some = key[a], b.slice(a, z - a)
+                held.append((*(some.column(c).to_numpy() for c in ("own", "id", "copies")), _unit(_matrix(some.column("v")))))
+            if len(out) > 1000:
+                yield done(out)
+                out = []
+        if held:
+            out.append(product())
+        if out:
+            yield done(out)
+
+    keys = ["component", "bi", "bj"]
+    counted = dealt.repartition(*keys).sortWithinPartitions(*keys, "own", "id").mapInArrow(run, "id long, component long, links long")
+    return counted.groupBy("id", "component").agg(F.sum("links").alias("links"))
