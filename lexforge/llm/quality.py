@@ -9,7 +9,8 @@ The model is fitted in one task on at most SAMPLE labelled rows (least CRC-32 of
 bound of WORDS + SHAPES codes and their pairs at any input size; scoring reads every text whole.
 
 Results: one row per input row, whatever its id (null, repeated). A null text counts as empty, and a text without
-features gets the score of the bias alone. Labels that are null are not learned from; several labels of an id count
+features gets the score of the bias alone. Words and texts count whole, however long; the sample's texts are held in
+one task, so its memory is that of SAMPLE texts. An empty table gives an empty result. Labels that are null are not learned from; several labels of an id count
 as the greatest. With labels of one class only, or none, every score is that class's rate (0.5 without any).
 """
 
@@ -32,12 +33,11 @@ _LETTER, _DIGIT, _RUN = re.compile(r"[^\W\d_]"), re.compile(r"\d"), re.compile(r
 
 
 def shape(word: str) -> str:
-    s = word[:64]
-    if s.isascii():
-        s = s.translate(_PLAIN)
+    if word.isascii():
+        s = word.translate(_PLAIN)
     else:
-        s = _DIGIT.sub("0", _LETTER.sub(lambda m: "A" if m.group().isupper() else "a", s))
-    return _RUN.sub(r"\1\1", s)[:16]
+        s = _DIGIT.sub("0", _LETTER.sub(lambda m: "A" if m.group().isupper() else "a", word))
+    return _RUN.sub(r"\1\1", s)
 
 
 class Codes:
