@@ -14,12 +14,13 @@ _own: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares (spark.checkpoint.dir).
 
-    Where it is unset, a local session gets a temporary folder and a cluster a folder in its warehouse.
+    Where it is unset, a local session, as in tests, gets a temporary folder; a cluster is an error, as executors
+    could not see each other's files.
     """
     if given := spark.sparkContext.getConf().get("spark.checkpoint.dir"):
         return given
-    if not spark.sparkContext.master.startswith("local["):
-        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_lexforge"
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _own:
         _own.append(tempfile.mkdtemp(prefix="lexforge-"))
     return _own[0]

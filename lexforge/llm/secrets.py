@@ -155,21 +155,23 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", scope: int = SCOPE, key: s
     """
     own = written(docs.filter(_found(F.col(text))), "suspects")
     cuts = F.filter("every", lambda x: x["kind"] != "endpoint")
-    found = secret_spans(own, scope, key, text).select(F.col(key).alias("_doc"), F.col("digest").alias("_digest"), cuts.alias("_cuts"))
-    found = found.filter(F.size("_cuts") > 0).distinct()
-    rows = own.withColumn("_own", F.sha2(text, 256))
-    met = rows.join(found, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_own") == F.col("_digest")), "left")
+    found = secret_spans(own, scope, key, text).select(F.col(key).alias("doc"), "digest", cuts.alias("cuts"))
+    found = found.filter(F.size("cuts") > 0).distinct().alias("f")
+    # the row's own columns stay in a struct, so no name of theirs can clash
+    rows = own.select(F.struct(*own.columns).alias("row"), F.col(key).alias("doc"), F.sha2(text, 256).alias("digest"), F.col(text).alias("text")).alias("o")
+    met = rows.join(found, F.col("o.doc").eqNullSafe(F.col("f.doc")) & (F.col("o.digest") == F.col("f.digest")), "left").select("row", "text", "cuts")
     first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc, x):
-        more = F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))
+        more = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark))
         return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], more).otherwise(acc["out"]).alias("out"))
 
     def rest(acc):
-        return F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text)))
+        return F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text")))
 
-    out = met.withColumn(text, F.when(F.col("_cuts").isNull(), F.col(text)).otherwise(F.aggregate("_cuts", first, step, rest)))
-    out = out.select(*docs.columns).unionByName(docs.filter(~_found(F.col(text))))
+    new = F.when(F.col("cuts").isNull(), F.col("text")).otherwise(F.aggregate("cuts", first, step, rest))
+    out = met.select(*(new.alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
+    out = out.unionByName(docs.filter(~_found(F.col(text))))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
