@@ -104,7 +104,8 @@ def converted(batch: DataFrame, native: DataFrame, ocr: DataFrame, layouts: Data
 def link_resolved(docs: DataFrame, targets: DataFrame, host: str, key: str = "doc_id", text: str = "markdown") -> DataFrame:
     """(key, text): section anchors, links to them, the index of margin notes, links between laws, in this order.
 
-    The frontmatter stays as it is. targets: (url, target) as links.pdf_index() gives it.
+    The frontmatter stays as it is. targets: (url, target) as links.pdf_index() gives it. The documents are read for
+    each pass, so they should come from a table or be cached.
     """
     head, body = split_frontmatter(F.col(text))
     parts = docs.select(key, head.alias("_head"), body.alias("_body"))

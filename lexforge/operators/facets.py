@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,8 +39,10 @@ def facet_row(block: Column, categories: dict[str, str], ministries: dict[int, s
 
 
 def ordered_groups(counts: DataFrame) -> DataFrame:
-    """Groups in order: numbers by size, other keys by Hebrew collation, Other last."""
-    return counts.orderBy("facet", F.col("value") == "Other", F.expr("try_cast(value AS INT)").asc_nulls_last(), F.collate("value", "he"))
+    """Groups with their place: numbers by size, other keys by Hebrew collation, Other last. There is a row for each
+    label, so one task orders them."""
+    order = Window.orderBy("facet", F.col("value") == "Other", F.expr("try_cast(value AS INT)").asc_nulls_last(), F.collate("value", "he"))
+    return counts.withColumn("place", F.row_number().over(order))
 
 
 def country_of(path: Column, infixes: dict[str, str], default: str) -> Column:

@@ -111,10 +111,12 @@ def found_names(docs: DataFrame, names: DataFrame, key: str = "doc_id", text: st
     inner = inner.withColumn("m", F.least(F.size("w") - 2, F.lit(3))).select("name", "m", F.array_join(F.slice("w", F.lit(2), F.col("m")), " ").alias("run"))
     sizes = [r.m for r in inner.select("m").distinct().collect()]  # of 1, 2 and 3
     rows = docs.select(key, words(F.col(text)).alias("w"))
-    window = lambda m: lambda x, i: F.array_join(F.slice(F.col("w"), i + 1, F.lit(m)), " ")
+    # the words are bound to a lambda variable, so a text is split once and not for every run
+    window = lambda m: lambda w: F.array_distinct(F.transform(w, lambda x, i: F.array_join(F.slice(w, i + 1, F.lit(m)), " ")))
     met = None
     for m in sorted(sizes):
-        some = rows.select(key, F.explode(F.array_distinct(F.transform("w", window(m)))).alias("run"))
+        runs = F.get(F.transform(F.array(words(F.col(text))), window(m)), F.lit(0))
+        some = docs.select(key, F.explode(runs).alias("run"))
         hit = some.join(inner.filter(F.col("m") == m), "run").select(key, "name")
         met = hit if met is None else met.unionByName(hit)
     within = keyed.filter((F.size("w") <= 2) | (F.col("name") != F.trim("name")))

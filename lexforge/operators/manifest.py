@@ -94,3 +94,21 @@ def tsv_words(lines: DataFrame, columns: tuple[str, ...], numbers: tuple[str, ..
     typed = [(F.trim(F.get("p", F.lit(i))).try_cast("double") if c in numbers else F.get("p", F.lit(i))).alias(c) for i, c in enumerate(columns)]
     out = parts.select(*(c for c in lines.columns if c != "line"), *typed)
     return out.filter(F.trim(F.col(columns[-1])) != "").dropna(subset=list(numbers))
+
+
+def tsv_records(files: DataFrame, text: str = "text") -> DataFrame:
+    """A row for each line of a table with a header line: columns of files, and a map from header to field.
+
+    A line with more or fewer fields than the header is dropped.
+    """
+    lines = F.split(F.regexp_replace(text, r"\n+$", ""), "\n", -1)
+    rest = [c for c in files.columns if c != text]
+    rows = files.select(*rest, F.split(F.get(lines, F.lit(0)), "\t", -1).alias("_head"), F.posexplode(lines).alias("pos", "_line")).filter("pos > 0")
+    rows = rows.withColumn("_row", F.split("_line", "\t", -1)).filter(F.size("_row") == F.size("_head"))
+    return rows.select(*rest, "pos", F.map_from_arrays("_head", "_row").alias("record"))
+
+
+def size_pin(docs: DataFrame, expected: int) -> DataFrame:
+    """One row (code, message) if the corpus hasn't the expected number of documents, else none."""
+    n = docs.agg(F.count("*").alias("n")).filter(F.col("n") != expected)
+    return n.select(F.lit("CORPUS_SIZE").alias("code"), F.concat(F.lit(f"expected {expected}, found "), F.col("n").cast("string")).alias("message"))

@@ -4,6 +4,7 @@ Works on the rows that lexforge.sources.clml.parse() gives. Every event of runni
 its kind alone, because changes come as open and close events; a text is then an ordered concatenation, and a document
 an ordered concatenation of blocks. Which links stay within the batch is settled by joins with the anchors of all its
 documents, so no document has to be rendered before another. Nothing is collected: documents are independent keys.
+The rows are read for each kind of block, so they should come from a table, or be cached, and not be parsed each time.
 """
 
 from __future__ import annotations

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from lexforge.functions import footers
 from lexforge.functions import text as T
-from lexforge.operators import chains, facets, layout, lines, links, render
+from lexforge.operators import chains, facets, layout, lines, links, manifest, models, render
 from lexforge.plans.catalog import query
-from lexforge.sources import clml
+from lexforge.sources import clml, sinks
 
 # ---------------------------------------------------------------- catalogs
 
@@ -224,7 +224,7 @@ FROM (SELECT *, {_WORDS} AS w FROM benchmark) b"""
 
 @query(_ACT)
 def n10_rendered(t):
-    return render.rendered(clml.parse(_acts(t)), _slugs(t), "now")
+    return render.rendered(clml.parse(_acts(t)).cache(), _slugs(t), "now")
 
 
 @query(f"""
@@ -232,13 +232,13 @@ WITH b AS (SELECT item_id, 'ukpga-' || 1900 + item_id || '-' || item_id AS slug,
 SELECT slug AS src, next AS dst, 'section-1' AS anchor FROM b WHERE {_NEXT} UNION ALL SELECT slug, next, NULL FROM b WHERE {_NEXT}
 UNION ALL SELECT slug, slug, 'section-1' FROM b UNION ALL SELECT slug, slug, 'section-1' FROM b UNION ALL SELECT slug, slug, 'section-1-1' FROM b""")
 def n11_internal_links(t):
-    return render.internal_links(clml.parse(_acts(t)), _slugs(t))
+    return render.internal_links(clml.parse(_acts(t)).cache(), _slugs(t))
 
 
 @query("SELECT item_id AS doc_id, 'ROUND_TRIP_MISSING' AS code, 'Sub gone alpha.' AS message FROM benchmark UNION ALL SELECT item_id, 'ROUND_TRIP_MISSING', 'Loose {note}' FROM benchmark WHERE item_id % 2 = 0")
 def v06_validated(t):
     """Texts of the source that rendering drops or changes: a repealed one, and one that was altered afterwards."""
-    rows = clml.parse(_acts(t).withColumn("content", F.replace("content", F.lit("Loose note"), F.lit("Loose {note}"))))
+    rows = clml.parse(_acts(t).withColumn("content", F.replace("content", F.lit("Loose note"), F.lit("Loose {note}")))).cache()
     made = render.rendered(rows, _slugs(t), "now")
     spoilt = made.withColumn("markdown", F.when(F.col("doc_id") % 2 == 0, F.replace("markdown", F.lit("Loose"), F.lit("Lost"))).otherwise(F.col("markdown")))
     return render.validated(rows, spoilt)
@@ -349,3 +349,91 @@ def o02_run_batch(t):
     made = out["documents"].select(F.col("doc_id"), F.lit("made").alias("what"))
     failed = out["findings"].select("doc_id", F.col("code").alias("what"))
     return made.unionByName(failed).unionByName(out["queue"].select(F.col("doc_id").cast("long").alias("doc_id"), F.lit("queued").alias("what")))
+
+
+@query(_RESOLVED)
+def o05_relinked(t):
+    """Documents that went through the link passes before come out the same."""
+    laws = _catalog(t)
+    known = links.pdf_index(laws, laws.filter("doc_id % 3 > 0"))
+    return chains.relinked(chains.link_resolved(_law(t), known, r"fs\.example").cache(), known, r"fs\.example")
+
+
+@query("""
+SELECT doc_id, 'made' AS what, 'A ' || doc_id || chr(10) || chr(10) || '---' || chr(10) || chr(10) || '[![מסמך PDF](/img/pdf-icon.svg)](u' || doc_id || ') [מסמך המקור באתר הכנסת](u' || doc_id || ')' || chr(10) AS markdown FROM documents WHERE doc_id % 2 > 0 AND doc_id % 3 > 0 AND doc_id % 5 > 0 AND doc_id % 7 > 0
+UNION ALL SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN 'NATIVE_MISSING' WHEN doc_id % 3 = 0 OR doc_id % 5 = 0 THEN 'OCR_MISSING' ELSE 'RECONCILE_FAILED' END, NULL FROM documents WHERE doc_id % 2 = 0 OR doc_id % 3 = 0 OR doc_id % 5 = 0 OR doc_id % 7 = 0""")
+def o01_stage_chain(t):
+    """Laws through their steps: some lack the native text, some their recognition or its layout, some the answer."""
+    i = F.col("doc_id")
+    have = lambda c: t.documents.filter(c).select("doc_id", F.concat(F.lit("A "), i.cast("string")).alias("text"))
+    answer = lambda r: F.when(F.regexp_extract(r, "A ([0-9]+)", 1).try_cast("int") % 7 > 0, F.regexp_extract(r, "(A [0-9]+)", 1))
+    made, lost = chains.converted(t.documents.select("doc_id", F.concat(F.lit("u"), i.cast("string")).alias("pdf_url")), have("doc_id % 2 > 0"), have("doc_id % 3 > 0"), have("doc_id % 5 > 0"), answer, "p")
+    return made.select("doc_id", F.lit("made").alias("what"), "markdown").unionByName(lost.select("doc_id", F.col("code").alias("what"), F.lit(None).cast("string").alias("markdown")))
+
+
+# ---------------------------------------------------------------- single functions over whole tables
+
+
+@query("""
+SELECT doc_id, 'חוק ' || source AS bare, 'חוק ' || source AS plain, 'חוק ' || source AS key, trim(text, ' ' || chr(10) || chr(9) || chr(13)) AS answer, 'p' || chr(10) || chr(10) || '<native>' || chr(10) || lang || chr(10) || '</native>' || chr(10) || chr(10) || '<ocr>' || chr(10) || source || chr(10) || '</ocr>' || chr(10) AS request, doc_id % 3 = 0 AS meaningful FROM documents""")
+def r06_r12_strings(t):
+    """Titles without year suffixes, remarks and quotes, answers without their fence, requests, texts that mean something."""
+    title = F.concat(F.lit("חוק "), "source")
+    fenced = F.concat(F.lit("```markdown\n"), F.trim("text", F.lit(" \n\t\r")), F.lit("\n```"))
+    said = F.when(F.col("doc_id") % 3 == 0, "(א) ב").when(F.col("doc_id") % 3 == 1, "א.").otherwise("... ---")
+    year = F.lit(', התשנ"ו-1996')
+    return t.documents.select("doc_id", T.strip_year(F.concat(title, year)).alias("bare"), T.plain_title(F.concat(title, F.lit(" [נוסח חדש]"), year)).alias("plain"), T.title_key(F.concat(title, F.lit('"  '), year)).alias("key"), T.unfenced(fenced).alias("answer"), models.request(F.col("lang"), F.col("source"), "p").alias("request"), T.meaningful(said).alias("meaningful"))
+
+
+@query("""
+SELECT doc_id, regexp_replace(regexp_replace(text, '[ \\t]{2,}', ' ', 'g'), '[ \\t]+\\n', chr(10), 'g') || ' סעיף 5 (א) ב 3, (ג) ד' || chr(10) || '12. סוף [^7] א-ב' AS text FROM documents""")
+def r32_clean_rtl(t):
+    spoilt = F.concat("text", F.lit(" סעיף5 )א(  ,3ב )ג(ד \n.12 סוף \u00ad7 א\u00adב"))
+    return t.documents.select("doc_id", T.clean_rtl(spoilt).alias("text"))
+
+
+@query("""
+SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'spring 199' WHEN o_orderkey % 3 = 1 THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
+ CASE WHEN o_orderkey % 4 < 2 THEN o_orderkey % 4 ELSE 0 END AS n_refs, CASE WHEN o_orderkey % 4 = 1 THEN 'f' || o_orderkey END AS found FROM orders""")
+def d04_c04_parsed(t):
+    k = F.col("o_orderkey")
+    day = F.when(k % 3 == 0, "spring 1996").when(k % 3 == 1, F.substring(F.col("o_orderdate").cast("string"), 1, 10))
+    raw = F.when(k % 4 == 0, "[]").when(k % 4 == 1, F.concat(F.lit(' [{"found_in_doc": "f'), k.cast("string"), F.lit('", "year_ce": 1996}]'))).when(k % 4 == 2, '{"found_in_doc": "x"}').otherwise("[broken")
+    refs = models.parsed_refs(raw)
+    return t.orders.select("o_orderkey", T.iso_date(day).alias("day"), F.size(refs).alias("n_refs"), F.get(refs, F.lit(0))["found_in_doc"].alias("found"))
+
+
+@query("SELECT json, sha256(json) AS sha256 FROM (SELECT '{' || string_agg('\"' || n_name || '\":' || n_regionkey, ',' ORDER BY n_name) || '}' AS json FROM nation)")
+def a17_canonical_json(t):
+    return sinks.json_map(t.nation, "n_name", "n_regionkey")
+
+
+@query("SELECT doc_id, CAST(pos AS INTEGER) AS pos, 'r' || pos AS a, lang AS b FROM documents, range(1, 4) r(pos) WHERE pos <> 2")
+def c03_tsv_records(t):
+    text = F.concat(F.lit("a\tb\nr1\t"), "lang", F.lit("\nr2\t"), "lang", F.lit("\tx\nr3\t"), "lang", F.lit("\n"))
+    rows = manifest.tsv_records(t.documents.select("doc_id", text.alias("text"), "lang"))
+    return rows.select("doc_id", "pos", F.col("record")["a"].alias("a"), F.col("record")["b"].alias("b"))
+
+
+@query("SELECT 'CORPUS_SIZE' AS code, 'expected -1, found ' || count(*) AS message FROM documents")
+def v09_size_pin(t):
+    return manifest.size_pin(t.documents, -1).unionByName(manifest.size_pin(t.region, 5))
+
+
+@query("SELECT item_id AS doc_id, a AS anchor FROM benchmark, (VALUES ('section-1'), ('section-1-1'), ('schedule-1'), ('p1')) v(a)")
+def v07_anchors_of_text(t):
+    return links.anchors_of(render.rendered(clml.parse(_acts(t)).cache(), _slugs(t), "now"), "doc_id", "markdown")
+
+
+@query("""
+SELECT doc_id, CASE WHEN doc_id % 4 > 0 THEN 1990 + doc_id % 30 END AS year, CASE doc_id % 3 WHEN 0 THEN 'Civil' WHEN 1 THEN 'tax' END AS category, CASE WHEN doc_id % 2 = 0 THEN 'Finance' END AS minister, CASE WHEN doc_id % 5 > 0 THEN 'ok' END AS status FROM documents""")
+def f13_facet_rows(t):
+    i = F.col("doc_id")
+    lines_ = F.array_compact(F.array(F.when(i % 4 > 0, F.concat(F.lit("publication_date: "), (1990 + i % 30).cast("string"), F.lit("-01-02"))), F.when(i % 3 == 0, "category: civil").when(i % 3 == 1, 'category: "tax"'), F.when(i % 2 == 0, "ministry_ids: [7, 2]").otherwise("ministry_ids: [7]"), F.when(i % 5 > 0, 'law_validity: "ok"')))
+    return t.documents.select("doc_id", facets.facet_row(T.render_frontmatter(lines_), {"civil": "Civil"}, {2: "Finance"}).alias("x")).select("doc_id", "x.*")
+
+
+@query("SELECT facet, value, n, CAST(row_number() OVER (ORDER BY facet, value = 'Other', TRY_CAST(value AS INTEGER) NULLS LAST, value) AS INTEGER) AS place FROM (SELECT 'year' AS facet, coalesce(CAST(CASE WHEN n_nationkey % 4 > 0 THEN 900 + n_nationkey * 37 END AS VARCHAR), 'Other') AS value, count(*) AS n FROM nation GROUP BY 2 UNION ALL SELECT 'name', n_name, count(*) FROM nation GROUP BY 2)")
+def t05_ordered_groups(t):
+    rows = t.nation.select(F.when(F.col("n_nationkey") % 4 > 0, 900 + F.col("n_nationkey") * 37).cast("string").alias("year"), F.col("n_name").alias("name"))
+    return facets.ordered_groups(facets.facet_counts(rows, ["year", "name"]))
