@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.llm.common import components, dropped, written
@@ -209,9 +209,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, key: str = "vec_id", v
 
 def _counted(members: DataFrame, least: float) -> DataFrame:
     """(id, component, links) of the members (id, component, v, copies) of components: links by all pairs, in blocks."""
-    order = Window.partitionBy("component").orderBy("id")
-    cut = members.select("component", "id", "v", "copies", F.floor((F.row_number().over(order) - 1) / BLOCK).cast("int").alias("own"))
-    cut = cut.withColumn("last", F.max("own").over(Window.partitionBy("component")))
+    sizes = members.groupBy("component").agg((F.ceil(F.count("*") / BLOCK) - 1).cast("int").alias("last"))
+    cut = members.join(sizes.hint("merge"), "component")  # a join splits where one component has many rows
+    cut = cut.select("component", "id", "v", "copies", "last", F.pmod(F.xxhash64("id"), F.col("last") + 1).cast("int").alias("own"))
     dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
     dealt = dealt.select("component", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "id", "copies", "v")
 
