@@ -7,7 +7,7 @@ wherever they are: no phrase's set of strings is a part of another's by chance o
 
 The parse is the table of phrases with their places; the dictionary holds each distinct phrase once, at its first
 place. A phrase that the parse repeats repeats all its strings, so it is removed as one (phrases are the same if their
-triggers, lengths and 64-bit digests are). Only phrases that differ but share a trigger can share some strings: for
+triggers, lengths and 56-bit digests are). Only phrases that differ but share a trigger can share some strings: for
 them, suffix arrays of the dictionary are made, trigger by trigger: all suffixes in the order of their letters, cut at
 the wanted length. Suffixes that stand beside each other are compared byte by byte, and the places of their phrases
 give the corpus order: all but the first of equal ones are removed.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from lexforge.llm.common import one_row_per_id, written
 from lexforge.llm.shingles import mixed, range_hashes
 
-GRAM, HOT, LANES, CHUNK = 36, 4096, 16, 300_000
+GRAM, HOT, LANES, CHUNK, KNOWN = 36, 4096, 16, 300_000, 255
 
 
 def _phrases(texts: list[bytes], length: int):
@@ -92,10 +92,10 @@ def kept_texts(docs: DataFrame, length: int = 100, key: str = "doc_id", text: st
     return _cut(docs, length, key, text, True)
 
 
-def _settled(order: np.ndarray, trigger: np.ndarray, digest: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Whether a phrase repeats one before it; order holds the phrases by their places."""
-    seen = np.zeros(len(order), bool)
-    by = np.lexsort((np.argsort(order), n, digest, trigger))
+def _settled(trigger: np.ndarray, digest: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether a phrase, in the order of places, repeats one before it."""
+    seen = np.zeros(len(n), bool)
+    by = np.argsort(mixed(trigger ^ mixed(digest + n.astype(np.uint64))), kind="stable")
     same = (trigger[by][1:] == trigger[by][:-1]) & (digest[by][1:] == digest[by][:-1]) & (n[by][1:] == n[by][:-1])
     seen[by[1:][same]] = True
     return seen
@@ -131,6 +131,8 @@ def repeated_suffixes(bucket: np.ndarray, data: np.ndarray, at: np.ndarray, plac
 
 def _repeats(rows: DataFrame, length: int) -> DataFrame:
     """(id, start, end): byte ranges of rows (id, text) that occur earlier, in pieces that may overlap."""
+    if not GRAM <= length < GRAM + 254:
+        raise ValueError(f"repeats of {GRAM} to {GRAM + 253} bytes can be found")
     kind = rows.schema["id"].dataType.simpleString()
 
     def parse(batches):
@@ -145,17 +147,31 @@ def _repeats(rows: DataFrame, length: int) -> DataFrame:
             ids = b.column("id")
             rank = np.empty(b.num_rows, np.int64)
             rank[pc.sort_indices(ids, null_placement="at_start").to_numpy()] = np.arange(b.num_rows)
-            known = _settled(np.lexsort((start, rank[owner])), trigger, digest, n)
-            # what is settled here needs no neighbours: it goes to a place of its own
-            key = np.where(known, mixed(trigger ^ mixed((rank[owner].astype(np.uint64) << np.uint64(32)) ^ start.astype(np.uint64))), trigger)
-            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(n.astype(np.int32)), pa.array(known), ids.take(pa.array(owner)), pa.array(start)], ["trigger", "digest", "n", "known", "id", "start"])
-
-    phrases = rows.mapInArrow(parse, f"trigger long, digest long, n int, known boolean, id {kind}, start long")
-    by = Window.partitionBy("trigger").orderBy("known", "digest", "n", F.col("id").asc_nulls_first(), "start")
+            if (rank[1:] < rank[:-1]).any():  # phrases in the order of their places
+                by = np.lexsort((start, rank[owner]))
+                owner, start, n, trigger, digest = (c[by] for c in (owner, start, n, trigger, digest))
+            known = _settled(trigger, digest, n)
+            mark = (digest & np.uint64(0xFFFFFFFFFFFFFF00)).astype(np.int64) | n
+            # what is settled here is done: phrases that follow each other are one range, at a trigger of its own
+            at = np.flatnonzero(known)
+            new = np.append(True, (np.diff(at) > 1) | (np.diff(owner[at]) != 0) | (start[at][1:] != (start + n)[at][:-1])) if len(at) else np.zeros(0, bool)
+            first = at[new]
+            size = np.add.reduceat(n[at], np.flatnonzero(new)) if len(at) else np.zeros(0, np.int64)
+            alone = mixed((rank[owner[first]].astype(np.uint64) << np.uint64(32)) ^ start[first].astype(np.uint64) ^ trigger[first])
+            open_ = ~known
+            columns = [np.concatenate(c) for c in ((trigger[open_], alone), (mark[open_], size << 8 | KNOWN), (owner[open_], owner[first]), (start[open_], start[first]))]
+            for low in range(0, len(columns[0]), 100_000):
+                t, m, o, x = (c[low : low + 100_000] for c in columns)
+                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(m), ids.take(pa.array(o)), pa.array(x)], ["trigger", "mark", "id", "start"])
+
+    phrases = rows.mapInArrow(parse, f"trigger long, mark long, id {kind}, start long")
+    by = Window.partitionBy("trigger").orderBy("mark", F.col("id").asc_nulls_first(), "start")
     whole = by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    mark = F.when(~F.col("known"), F.struct("digest", "n"))
-    seen = phrases.withColumns({"again": F.col("known") | F.coalesce(F.lag(mark).over(by) == mark, F.lit(False)), "mixed": F.min(mark).over(whole) != F.max(mark).over(whole), "many": F.count("*").over(whole)})
-    seen = seen.filter("again or mixed").select("id", "start", "n", "again", "trigger", "many")
+    settled = F.col("mark").bitwiseAND(0xFF) == KNOWN
+    own = F.when(~settled, F.col("mark"))
+    seen = phrases.withColumns({"again": settled | F.coalesce(F.lag(own).over(by) == own, F.lit(False)), "mixed": F.min(own).over(whole) != F.max(own).over(whole), "many": F.count("*").over(whole)})
+    size = F.when(settled, F.shiftright("mark", 8)).otherwise(F.col("mark").bitwiseAND(0xFF))
+    seen = seen.filter("again or mixed").select("id", "start", size.alias("n"), "again", "trigger", "many")
     seen = written(seen, "phrases")
 
     # phrases that differ from others with their trigger, with their bytes
@@ -164,16 +180,27 @@ def _repeats(rows: DataFrame, length: int) -> DataFrame:
 
     def fetch(batches):
         for b in batches:
-            out = []
+            held, raw = [], []
+
+            def out(b=b, held=held, raw=raw):
+                trigger, lane, own, start, n = (np.concatenate(c) for c in zip(*held, strict=True))
+                got = pa.RecordBatch.from_arrays([pa.array(trigger), pa.array(lane), b.column("id").take(pa.array(own)), pa.array(start), pa.array(n.astype(np.int32)), pa.array(raw, pa.binary())], ["trigger", "lane", "id", "start", "n", "bytes"])
+                held.clear()
+                raw.clear()
+                return got
+
             for i in range(b.num_rows):
-                data = (b.column("text")[i].as_py() or "").encode()
-                for x in b.column("at")[i].as_py():
-                    hot = range(LANES) if x["many"] > HOT else (-1,)
-                    out += [(x["trigger"], lane, i, x["start"], x["n"], data[x["start"] : x["start"] + x["n"] + length - 1]) for lane in hot]
-                if len(out) > 50_000 or i == b.num_rows - 1 and out:
-                    trigger, lane, own, start, n, raw = zip(*out, strict=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(trigger, pa.int64()), pa.array(lane, pa.int32()), b.column("id").take(pa.array(own)), pa.array(start, pa.int64()), pa.array(n, pa.int32()), pa.array(raw, pa.binary())], ["trigger", "lane", "id", "start", "n", "bytes"])
-                    out = []
+                data, at = (b.column("text")[i].as_py() or "").encode(), b.column("at")[i].values
+                trigger, start, n, many = (at.field(c).to_numpy() for c in ("trigger", "start", "n", "many"))
+                times = np.where(many > HOT, LANES, 1)
+                lane = np.where(np.repeat(many > HOT, times), np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times), -1).astype(np.int32)
+                trigger, start, n = (np.repeat(c, times) for c in (trigger, start, n))
+                held.append((trigger, lane, np.full(len(n), i), start, n))
+                raw += [data[x:z] for x, z in zip(start.tolist(), (start + n + length - 1).tolist(), strict=True)]
+                if len(raw) > 20_000:
+                    yield out()
+            if raw:
+                yield out()
 
     dictionary = open_texts.mapInArrow(fetch, f"trigger long, lane int, id {kind}, start long, n int, bytes binary")
 
