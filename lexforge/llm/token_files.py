@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexforge.llm.common import one_row_per_id, table_path
-from lexforge.llm.units import coder
+from lexforge.llm.units import arrow_coder
 
 BITS, LANES, STEPS = 20, 32, 512
 _LOW, _MAGIC = 1 << 31, b"RNS1"
@@ -127,31 +127,37 @@ def write_token_files(docs: DataFrame, path: str, folder: str, end_id: int = 2,
     path: byte-level vocabulary (.json); segment: tokens after which a segment ends with its document. Spark writes
     the segments (part, segment, keys, payload), so the folder may be in any store that Spark writes to.
     """
-    spark, end = docs.sparkSession, np.array([end_id], "<u4").tobytes()
+    spark = docs.sparkSession
     rows = one_row_per_id(docs, key, text)
     parts = max(rows.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        part, known = TaskContext.get().partitionId(), coder(path, True)
-        keys, held, size, number, of = [], [], 0, 0, None
+        part, known = TaskContext.get().partitionId(), arrow_coder(path)
+        keys, held, sizes, size, number = [], [], [], 0, 0
 
         def out():
-            ids = np.frombuffer(b"".join(held), "<u4")
-            data = encode_segment(ids, np.array([len(x) // 4 for x in held], np.int64))
-            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([number]), pa.array([len(ids)]), pa.array([keys], pa.list_(of)), pa.array([data], pa.binary())], ["part", "segment", "tokens", "keys", "payload"])
+            data = encode_segment(np.concatenate(held), np.concatenate(sizes))
+            ids = pa.concat_arrays(keys)
+            listed = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([number]), pa.array([size]), listed, pa.array([data], pa.binary())], ["part", "segment", "tokens", "keys", "payload"])
 
         for b in batches:
-            of = b.column(0).type
             for at in range(0, b.num_rows, 512):
                 some = b.slice(at, 512)
-                for k, ids in zip(some.column(0).to_pylist(), known.encode(some.column(1).to_pylist()), strict=True):
-                    keys.append(k)
-                    held.append(ids + end)
-                    size += len(ids) // 4 + 1
+                ids, counts = known.encode(some.column(1))
+                ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+                ends, first, begin = np.cumsum(counts), 0, 0
+                while first < len(ends):  # up to the document that fills the segment
+                    last = min(int(np.searchsorted(ends, begin + segment - size)) + 1, len(ends))
+                    end = int(ends[last - 1])
+                    keys.append(some.column(0).slice(first, last - first))
+                    held.append(ids[begin:end])
+                    sizes.append(counts[first:last])
+                    size, first, begin = size + end - begin, last, end
                     if size >= segment:
                         yield out()
-                        keys, held, size, number = [], [], 0, number + 1
+                        keys, held, sizes, size, number = [], [], [], 0, number + 1
         if held:
             yield out()
 
