@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.llm.common import dropped, written
-from lexforge.llm.units import coder
+from lexforge.llm.units import arrow_coder
 
 _FIELDS = ["start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 _MERGED = 1 << 62
@@ -84,19 +84,21 @@ def pack(docs: DataFrame, path: str, size: int = 4096, windows: int = 64, end_id
     path: vocabulary that drops white space; windows: open windows in a partition; merge: partitions whose
     leftovers are laid together in a round, so no task gets more than merge * windows * size ids.
     """
-    spark, end = docs.sparkSession, np.array([end_id], "<u4").tobytes()
     kind = docs.schema[key].dataType.simpleString()
     schema = f"key {kind}, {', '.join(f'`{f}` long' for f in _FIELDS)}, ids binary"
 
     def first(batches):
         part = TaskContext.get().partitionId()
-        got, of, known = Windows(size, windows, part << 32), None, coder(path, False)
+        got, of, known = Windows(size, windows, part << 32), None, arrow_coder(path, False)
         for b in batches:
             of = b.column(0).type
             for at in range(0, b.num_rows, 512):
                 some = b.slice(at, 512)
-                for k, ids in zip(some.column(0).to_pylist(), known.encode(some.column(1).to_pylist()), strict=True):
-                    got.place(k, ids + end)
+                ids, counts = known.encode(some.column(1))
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4", copy=False).tobytes()
+                ends = (np.cumsum(counts + 1) * 4).tolist()
+                for k, begin, stop in zip(some.column(0).to_pylist(), [0, *ends[:-1]], ends, strict=True):
+                    got.place(k, ids[begin:stop])
                 yield _batch(got.done, of)
                 got.done = []
         if of is not None:

@@ -202,28 +202,37 @@ _KINDS = bytes(0 if b == 32 else 1 if b in b"\t\n\r" else 4 if b in b"\x00\x0b\x
 _WIDE = np.zeros(1 << 14, bool)  # white space among the code points that those bytes begin
 _WIDE[[c for c in range(128, 1 << 14) if re.match(f"[{_WS}]", chr(c))]] = True
 _LETTER = np.array([chr(c).isalpha() for c in range(1 << 16)])
+_STAYS = np.array([bool(_LETTER[c]) and UnitCoder._stays_one(chr(c)) for c in range(1 << 16)])  # letters when normalised, too
+_PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"  # of a vocabulary that drops white space
 _MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 class ArrowCoder:
-    """Ids of a column of texts under a byte-level vocabulary, cut and looked up in arrays.
+    """Ids of a column of texts, cut and looked up in arrays.
 
-    Units are shorter here, by the library's own pattern for such vocabularies: a run of white space is cut before its
-    last character, which what follows joins only if it is a space; and letters are cut from signs and digits, but not
-    from an apostrophe before them. Texts with rare white space, NUL or added tokens go to UnitCoder.
+    Units are shorter here, by the library's own patterns: letters are cut from signs and digits, but not from an
+    apostrophe before them. Where white space is part of tokens (spaced, byte-level), a run of it is cut before its last
+    character, which what follows joins only if it is a space. Where it is dropped, units hold none; letters that do not
+    stay letters when normalised are not cut from signs, and A-Z is lower-cased first, unless a character of several
+    bytes follows, which may be a mark that joins it. Texts with rare white space, NUL or added tokens go to UnitCoder.
     most: units in one generation of the cache, about 100 bytes each; those of over 24 bytes count five times.
     """
 
-    def __init__(self, path: str, most: int = 500_000, piece: int = 1 << 20):
-        self.texts, self.most, self.piece = UnitCoder(path, True, 50_000), most, piece
+    def __init__(self, path: str, spaced: bool = True, most: int = 500_000, piece: int = 1 << 20):
+        self.texts, self.spaced, self.most, self.piece = UnitCoder(path, spaced, 50_000), spaced, most, piece
         self.now, self.old = UnitTable(), UnitTable()
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, before = spec["model"], spec["pre_tokenizer"] or {}
         self.special = [x["content"].encode() for x in spec["added_tokens"]]
-        self.known = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec["normalizer"]
+        if spaced:
+            self.known = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not spec["normalizer"]
+        else:
+            steps, pieces = (spec["normalizer"] or {}).get("normalizers", []), before.get("pretokenizers", [])
+            self.special = [x.lower() for x in self.special]  # found in any case
+            self.known = [x["type"] for x in steps] == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in pieces] == ["Split", "ByteLevel"] and pieces[0]["pattern"] == {"Regex": _PIECES} and pieces[0]["invert"] and not (pieces[1]["use_regex"] or pieces[1]["add_prefix_space"])
         # a letter that no token joins to others keeps words apart, so that one call takes many
-        plain = not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
+        plain = spaced and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges"))
         joined = set().union(*(t for t in model["vocab"] if len(t) > 1))
         self.apart = next((c for c in byte_letters()[:32] if plain and c in model["vocab"] and c not in joined), None)
         self.apart_id = model["vocab"].get(self.apart)
@@ -267,6 +276,7 @@ class ArrowCoder:
             data = np.frombuffer(raw + b"\0\0", np.uint8)
             a, b, c = (data[lead + i].astype(np.int64) & 63 for i in range(3))
             at.append(lead[_WIDE[np.where(data[lead] < 0xE0, (a & 31) << 6 | b, (a & 3) << 12 | b << 6 | c)]])
+        raw = raw if self.spaced else raw.lower()
         for token in self.special:
             found = raw.find(token)
             while found >= 0:
@@ -279,23 +289,34 @@ class ArrowCoder:
             return np.zeros(0, np.uint32), np.zeros(len(off) - 1, np.int64)
         data, white = np.frombuffer(raw, np.uint8), kinds < 2
         turn = white[1:] != white[:-1]
-        last = turn & white[:-1]  # the last character of a run
         cut = np.zeros(len(raw), bool)
-        cut[1:] = turn & (kinds[:-1] != 0)  # a run begins, or a word after other white space than a space
-        last[off[(off > 0) & (off < len(raw))] - 1] = False  # a run that ends its text stays whole
-        cut[:-1] |= last
+        if self.spaced:
+            last = turn & white[:-1]  # the last character of a run
+            cut[1:] = turn & (kinds[:-1] != 0)  # a run begins, or a word after other white space than a space
+            last[off[(off > 0) & (off < len(raw))] - 1] = False  # a run that ends its text stays whole
+            cut[:-1] |= last
+        else:
+            cut[1:] = turn
+            upper = data - 65 < 26
+            upper[:-1] &= data[1:] < 128
+            data = data | upper.astype(np.uint8) << 5
+            raw = data.tobytes()
         sign, letter = kinds == 5, kinds == 6
         cut[1:] |= sign[1:] & letter[:-1]
         cut[1:] |= letter[1:] & sign[:-1] & (data[:-1] != 39)
         wide = np.flatnonzero(sign[1:] & (data[:-1] > 127)) + 1  # signs after a character of several bytes
         a, b, c = (data[np.maximum(wide - i, 0)].astype(np.int64) for i in (3, 2, 1))
         point = np.where(b >= 0xC0, (b & 31) << 6 | c & 63, np.where(a >> 4 == 14, (a & 15) << 12 | (b & 63) << 6 | c & 63, 0))
-        cut[wide[_LETTER[point]]] = True
+        cut[wide[(_LETTER if self.spaced else _STAYS)[point]]] = True
         cut[off[off < len(raw)]] = True
         starts = np.flatnonzero(cut)
+        ends = np.append(starts[1:], len(raw))
+        if not self.spaced:
+            held = ~white[starts]
+            starts, ends = starts[held], ends[held]
         if self.now.full(self.most):
             self.old, self.now = self.now, UnitTable()
-        ids, counts = self.now.gather(self._rows(raw, starts, np.append(starts[1:], len(raw))))
+        ids, counts = self.now.gather(self._rows(raw, starts, ends))
         return ids, np.diff(np.append(0, np.cumsum(counts))[np.searchsorted(starts, off)])
 
     def _rows(self, raw: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -340,7 +361,10 @@ class ArrowCoder:
     def _learn(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(the order in which these units follow, their ids, each one's number of ids)."""
         texts = b"\0".join(units).decode().split("\0") if units else []
-        is_word = np.array([len(u) < 64 and u[u[0] == " " :].isalpha() for u in texts], bool)
+        if self.spaced:
+            is_word = np.array([len(u) < 64 and u[u[0] == " " :].isalpha() for u in texts], bool)
+        else:
+            is_word = np.array([len(u) < 64 and u.isalpha() and (u.isascii() or self.texts._stays_one(u)) for u in texts], bool)
         words, odd = np.flatnonzero(is_word), np.flatnonzero(~is_word)
         ids, counts = self._words([units[i] for i in words.tolist()])
         rest = [x for at in range(0, len(odd), 1024) for x in self.texts._slow([texts[i] for i in odd[at : at + 1024].tolist()])]
@@ -349,6 +373,8 @@ class ArrowCoder:
 
     def _words(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, each unit's number) of units whose body is letters only: each one piece for the model."""
+        if not self.spaced:
+            return self._lowered(units)
         if self.apart is None:
             got = [self.texts._word(u.decode()) for u in units]
             return np.frombuffer(b"".join(got), "<u4"), np.array([len(x) // 4 for x in got], np.int64)
@@ -360,19 +386,23 @@ class ArrowCoder:
         ends = np.flatnonzero(flat == self.apart_id)
         return flat[flat != self.apart_id], np.diff(ends, prepend=-1) - 1
 
+    def _lowered(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """_words where white space is dropped: all are normalised and spelt in the vocabulary's letters at once."""
+        ids, counts, tokenize = [], [], self.texts.model.tokenize
+        if units:
+            raw = unicodedata.normalize("NFC", b" ".join(units).decode()).lower().encode()
+            seen = self.points[np.frombuffer(raw, np.uint8)].tobytes().decode("utf-32-le")
+            for word in seen.split(self.texts.letters[32]):
+                ids += (got := [t.id for t in tokenize(word)])
+                counts.append(len(got))
+        return np.array(ids, np.uint32), np.array(counts, np.int64)
+
 
 _coders: dict = {}
 
 
-def coder(path: str, spaced: bool) -> UnitCoder:
-    """The coder of this Python worker, kept from task to task."""
+def arrow_coder(path: str, spaced: bool = True) -> ArrowCoder:
+    """The coder of columns of this Python worker, kept from task to task."""
     if (path, spaced) not in _coders:
-        _coders[path, spaced] = UnitCoder(path, spaced)
+        _coders[path, spaced] = ArrowCoder(path, spaced)
     return _coders[path, spaced]
-
-
-def arrow_coder(path: str) -> ArrowCoder:
-    """The coder of columns of this Python worker, kept from task to task."""
-    if path not in _coders:
-        _coders[path] = ArrowCoder(path)
-    return _coders[path]

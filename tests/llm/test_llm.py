@@ -179,6 +179,59 @@ def test_columns_ask_the_library_once_for_many_words():
     assert len(asked) <= 100
 
 
+def test_ids_of_columns_without_white_space():
+    """The array coder against the library on whole texts, where white space is dropped and letters are normalised."""
+    import unicodedata
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from lexforge.llm.units import ArrowCoder
+
+    library = Tokenizer.from_file(WORD)
+    rng = np.random.default_rng(7)
+    plain = [" ", " ", "  ", "\n", "\t", "\r", "a", "The", "H", "e\u0301", "H\u0331", "I\u0307", "\u0308", "\u0915\u093c", "\u0958", "é", "É", "Σ", "İ", "ß", "日本", "😀", "’", "”", "'s", "'S", "'LL", "'", "1", "23", ".", "!!!", "x" * 23, "y" * 24, "Z" * 25, "q" * 70, "\u200b", "<|ENDOF", "<|endof", "TEXT|>", "text|>"]
+    rare = ["\x00", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "<|endoftext|>"]
+    letters = [c for c in map(chr, range(0x110000)) if c.isalpha()]
+    some = [f"{a}.{b}1 {a}{b}, 1{a}'{b} H{a}" for a, b in zip(letters, rng.permutation(letters), strict=True) if a < "\u3000" or rng.random() < 0.03]
+    some += [f"{u}{m}. {u}{m}{u} {m}{u}" for m in map(chr, range(0x300, 0x370)) if unicodedata.combining(m) for u in "HhTtWwJjIi"]
+    for parts, sizes in ((plain, {}), (plain + rare, {"most": 50, "piece": 64}), (plain, {"most": 500, "piece": 1000}), (plain + rare, {})):
+        texts = [None, "", " ", *("".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(2000)), *rng.choice(some, 500), "", None]
+        if not sizes:
+            texts += some
+        want = [x.ids for x in library.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
+        known = ArrowCoder(WORD, False, **sizes)
+        for kind in (pa.string(), pa.large_string()):
+            ids, counts = known.encode(pa.array(["not this", *texts], kind).slice(1))
+            assert counts.tolist() == list(map(len, want)) and ids.tolist() == [i for x in want for i in x]
+    for texts in ([], [""], [None], [" ", "\n"], ["\x00"]):
+        ids, counts = ArrowCoder(WORD, False).encode(pa.array(texts, pa.string()))
+        assert (ids.tolist(), len(counts)) == ([i for t in texts for i in encoded(WORD, t)], len(texts))
+
+
+def test_packing_asks_the_library_once_for_each_word(monkeypatch):
+    """With texts joined word by word, and a call for every case and ending, op1_packing took 405 CPU seconds a GB."""
+    import pyarrow as pa
+
+    from lexforge.llm import packing
+
+    known, asked = packing.arrow_coder(WORD, False), []
+    model = known.texts.model
+
+    class Counted:
+        def tokenize(self, text):
+            asked.append(text)
+            return model.tokenize(text)
+
+    monkeypatch.setattr(known.texts, "model", Counted())
+    words = ["".join(chr(97 + int(c)) for c in f"{n:05d}") for n in range(3000)]
+    texts = [" ".join(f"{before}{w}{after}" for w in words) for before, after in (("", ""), ("", ","), ("(", ")..."), ('"', "-1"))]
+    texts += [t.upper() for t in texts] + [t.title() for t in texts]
+    ids, _ = known.encode(pa.array(texts))
+    assert ids.tolist() == [i for t in texts for i in encoded(WORD, t)]
+    assert len(asked) <= len(words)
+
+
 def test_url_filter(spark):
     from lexforge.llm.url_filter import url_filter
 
