@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from lexforge.llm.common import dropped, written
 
 #: Fixed by the contract: (rule, verdict).
-RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block"))
+RULES = (("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block"))
 
 #: A context is lengthened where training has seen it so often.
 LEAST = 4

@@ -269,6 +269,25 @@ def test_url_rules_as_sql_has_them(spark):
     assert sorted(tuple(r) for r in url_filter(spark.read.parquet(pages)).select("page_id", "host", "path", "rule").collect()) == want
 
 
+def test_url_verdicts_as_the_contract_has_them(spark):
+    """The contract's list, word by word, and its verdicts against SQL of a second engine, over all pages."""
+    import duckdb
+
+    from lexforge.llm.url_filter import RULES, url_filter
+
+    listed = "block com/en/, allow example.com/en/7, allow net/de/, block example.net/de/8, block org/es/"
+    assert RULES == tuple(tuple(reversed(r.split(" "))) for r in listed.split(", "))
+    pages = "/root/testdata/sf0.01/pages.parquet"
+    sql = f"""SELECT page_id, CASE WHEN regexp_matches(url, '^[^:/]*://([^/?#]*\\.)?example\\.com/en/7') THEN 'allow' WHEN regexp_matches(url, '^[^:/]*://([^/?#]*\\.)?example\\.net/de/8') THEN 'block'
+     WHEN regexp_matches(url, '^[^:/]*://([^/?#]*\\.)?com/en/') THEN 'block' WHEN regexp_matches(url, '^[^:/]*://([^/?#]*\\.)?net/de/') THEN 'allow' WHEN regexp_matches(url, '^[^:/]*://([^/?#]*\\.)?org/es/') THEN 'block' END AS says FROM '{pages}'"""
+    want = {k: v for k, v in duckdb.sql(sql).fetchall() if v}
+    got = {r.page_id: r.verdict for r in url_filter(spark.read.parquet(pages)).filter("rule is not null").collect()}
+    assert got == want and set(want.values()) == {"allow", "block"}
+    odd = ["http://net/de/", "http://a.net/de/8", "https://x.example.net/de/7", "http://example.net/de/80", "http://A.NET/de/?q#f"]
+    rows = {r.page_id: r for r in url_filter(spark.createDataFrame(list(enumerate(odd)), "page_id long, url string")).collect()}
+    assert [(rows[i].rule, rows[i].verdict) for i in range(5)] == [("net/de/", "allow"), ("net/de/", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("net/de/", "allow")]
+
+
 def test_url_models_of_any_order(spark):
     import math
 
