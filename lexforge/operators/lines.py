@@ -11,7 +11,8 @@ from lexforge.functions.text import rewrite
 HEADING = r"(?s)^(#{1,2} )(\d+)([א-ת]?)((?:\([^)]+\))*)(\.)(.*)$"
 OLD_ANCHOR = r"""(?U)\s*(?:\{#section-\d+\}|<span id="section-\d+" />)"""
 
-REFERENCE = r"(?<![/א-ת\[#])([לבמכ]?(?:סעיף|סעיפים|סעיפי))\s+(\d+)(?!\d)([א-ת]?(?:\([^)]+\))*)(?![א-ת]?\s+ל(?:חוק(?!\s+זה)|פקודת|תקנות|דבר\s+המלך))"
+#: What a reference begins with is looked for first, as that rules out nearly every place at once.
+REFERENCE = r"(?=[לבמכס])(?<![/א-ת\[#])([לבמכ]?(?:סעיף|סעיפים|סעיפי))\s+(\d+)(?!\d)([א-ת]?(?:\([^)]+\))*)(?![א-ת]?\s+ל(?:חוק(?!\s+זה)|פקודת|תקנות|דבר\s+המלך))"
 REFERENCE_LINK = r"\[([לבמכ]?(?:סעיף|סעיפים|סעיפי)\s+\d+[א-ת]?(?:\([^)]+\))*)\]\(#section-\d+\)"
 
 #: An index that an earlier pass put in: its first bullet with what stands before it, then bullet by bullet.
@@ -33,7 +34,11 @@ def section_anchors(lines: DataFrame, heading: str = HEADING, number: int = 2) -
     """Numbered headings get an anchor span; column anchor holds its id. Lettered sections share the base number's."""
     hit = F.col("line").rlike(heading)
     anchor = F.when(hit, F.concat(F.lit("section-"), F.regexp_extract("line", heading, number)))
-    clean = F.regexp_replace(F.regexp_replace("line", r"(?U)\s+$", ""), OLD_ANCHOR, "")
+    # the long searches are made only where their first or last letters stand
+    spaced = F.substring("line", -1, 1).rlike(r"(?U)\s")
+    ended = F.when(spaced, F.regexp_replace("line", r"(?U)\s+$", "")).otherwise(F.col("line"))
+    old = F.contains("line", F.lit("{#section-")) | F.contains("line", F.lit('<span id="section-'))
+    clean = F.when(old, F.regexp_replace(ended, OLD_ANCHOR, "")).otherwise(ended)
     lined = F.when(hit, F.concat(clean, F.lit(' <span id="'), anchor, F.lit('" />'))).otherwise(F.col("line"))
     return lines.withColumns({"anchor": anchor, "line": lined})
 
@@ -71,29 +76,37 @@ def linked_references(lines: DataFrame, known: DataFrame, pattern: str, number:
     known: (key, num) of sections. Only the numbers that lines name are joined to the sections, a row each, so a
     document's sections are never copied to its lines. old: links of an earlier pass, undone first (pattern, its
     group 1 being the words); documents without any section stay as they are.
+
+    What a line asks for are the numbers it names and, where an old link is undone, whether there is any section, so
+    lines meet what was found once. Conditions stand within generators: a filter would be moved below and search
+    every line again.
     """
-    sections = known.select(key, F.col("num").alias("_num")).distinct()
-    body = lines
-    if old:
-        numbered = sections.select(key).distinct().withColumn("_any", F.lit(True))
-        body = lines.join(numbered, key, "left").withColumn("line", F.when(F.col("_any"), F.regexp_replace("line", old, "$1")).otherwise(F.col("line"))).drop("_any")
-    named = F.transform(F.regexp_extract_all("line", F.lit(pattern), F.lit(0)), lambda m: F.regexp_extract(m, number, 1))
-    asked = body.filter(~F.col("line").startswith(">") & F.col("line").rlike(pattern)).select(key, "pos", F.explode(F.array_distinct(named)).alias("_num"))
+    mark = lambda num: F.concat(F.lit("#"), num)
+    sections = known.select(key, F.explode(F.array(mark(F.col("num")), F.lit("any"))).alias("_num")).distinct()
+    plain = lines.withColumn("_plain", F.regexp_replace("line", old, "$1") if old else F.col("line"))
+    named = F.transform(F.regexp_extract_all("_plain", F.lit(pattern), F.lit(0)), lambda m: mark(F.regexp_extract(m, number, 1)))
+    none = F.array().cast("array<string>")
+    nums = F.when(~F.col("_plain").startswith(">"), F.array_distinct(named)).otherwise(none)
+    undone = F.when(F.col("_plain") != F.col("line"), F.array(F.lit("any"))).otherwise(none)
+    asked = plain.select(key, "pos", F.explode(F.concat(nums, undone)).alias("_num"))
     found = asked.join(sections, [key, "_num"], "left_semi").groupBy(key, "pos").agg(F.collect_list("_num").alias("_nums"))
-    met = body.join(found, [key, "pos"], "left")
+    met = lines.join(found, [key, "pos"], "left")
 
     def link(m: Column) -> Column:
         n = F.regexp_extract(m, number, 1)
         shown = F.regexp_replace(m, r"\s+(\d)", " $1")
-        return F.when(F.array_contains("_nums", n), F.concat(F.lit("["), shown, F.lit("](#section-"), n, F.lit(")"))).otherwise(m)
+        return F.when(F.array_contains("_nums", mark(n)), F.concat(F.lit("["), shown, F.lit("](#section-"), n, F.lit(")"))).otherwise(m)
 
-    lined = F.when(F.col("_nums").isNull(), F.col("line")).otherwise(rewrite(F.col("line"), pattern, link))
+    # the line is bound to a lambda variable, so old links are undone once
+    plain = F.array(F.regexp_replace("line", old, "$1") if old else F.col("line"))
+    lined = F.when(F.col("_nums").isNull(), F.col("line")).otherwise(F.get(F.transform(plain, lambda x: rewrite(x, pattern, link)), F.lit(0)))
     return met.withColumn("line", lined).select(*lines.columns)
 
 
 def section_links(lines: DataFrame, key: str = "doc_id") -> DataFrame:
     """Lines that section_anchors() gave anchors, with references to sections of the document as links."""
-    known = lines.filter("anchor is not null").select(key, F.regexp_extract("anchor", r"(\d+)", 1).alias("num"))
+    num = F.array(F.regexp_extract("anchor", r"(\d+)", 1))
+    known = lines.select(key, F.explode(F.when(F.col("anchor").isNotNull(), num)).alias("num"))
     return linked_references(lines, known, REFERENCE, key=key, old=REFERENCE_LINK)
 
 

@@ -152,3 +152,23 @@ def test_section_references_by_their_grammar(spark):
     got = {(r.doc_id, r.pos): r.line for r in rows}
     assert got[1, 2] == "לפי [סעיף 1(א)(2)](#section-1) וסעיף 2 לחוק זה, ובסעיף  2א לפקודת המסים, [סעיפים 1](#section-1) עד 2, [סעיף 1](#section-1), סעיף 12"
     assert got[2, 0] == "סעיף 1 [סעיף 1](#section-1)"
+
+
+def test_section_references_of_documents_with_and_without_sections(spark):
+    """Old links are undone where a document has sections, quotes among them; ids that are null or lines that are null stay."""
+    old, made = "ראה [בסעיף  7](#section-7) וסעיף 1", "ראה בסעיף  7 ו[סעיף 1](#section-1)"
+    heads = [(1, 0, "# 1. x \u00a0\u2028"), (1, 1, "# 2. y {#section-9}\u2003<span id=\"section-2\" /> z")]
+    asks = [(d, n, line) for d in (1, 2, None) for n, line in ((5, old), (6, "> " + old), (7, None), (8, "סעיף 2 וסעיף 2, סעיף 3"))]
+    rows = lines.section_links(lines.section_anchors(spark.createDataFrame(heads + asks, "doc_id long, pos int, line string"))).collect()
+    got = {(r.doc_id, r.pos): r.line for r in rows}
+    want = {(1, 0): '# 1. x <span id="section-1" />', (1, 1): '# 2. y z <span id="section-2" />'} | {(d, n): line for d, n, line in asks}
+    want |= {(1, 5): made.replace("ו[סעיף 1](#section-1)", "וסעיף 1"), (1, 6): "> ראה בסעיף  7 וסעיף 1", (1, 8): "[סעיף 2](#section-2) וסעיף 2, [סעיף 3](#section-3)".replace("[סעיף 3](#section-3)", "סעיף 3")}
+    assert got == want and len(rows) == len(want)
+
+
+def test_lines_are_searched_once_for_each_use(spark):
+    """The lines are read three times: for sections, for what is asked, and to be rewritten; no filter searches them."""
+    docs = spark.createDataFrame([(1, "# 1. x\nסעיף 1")], "doc_id long, text string")
+    linked = lines.section_links(lines.section_anchors(lines.explode_lines(docs)))
+    plan = linked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("posexplode(") == 3 and not [p for p in plan.split("\n") if "Filter" in p and "RLIKE" in p]
