@@ -90,9 +90,12 @@ def with_source(df: DataFrame, path: str = "pdf_path") -> DataFrame:
 
 def tsv_words(lines: DataFrame, columns: tuple[str, ...], numbers: tuple[str, ...]) -> DataFrame:
     """Words of recognition output: rows of all columns, numbers that parse, text not blank."""
-    parts = lines.withColumn("p", F.split("line", "\t", -1)).filter(F.size("p") == len(columns))
+    # generators hold what is split and typed: filters stay above them, and would split the line again for each column
+    # if they were moved below
+    rest = [c for c in lines.columns if c != "line"]
+    parts = lines.select(*rest, F.explode(F.array(F.split("line", "\t", -1))).alias("p")).filter(F.size("p") == len(columns))
     typed = [(F.trim(F.get("p", F.lit(i))).try_cast("double") if c in numbers else F.get("p", F.lit(i))).alias(c) for i, c in enumerate(columns)]
-    out = parts.select(*(c for c in lines.columns if c != "line"), *typed)
+    out = parts.select(*rest, F.inline(F.array(F.struct(*typed))))
     return out.filter(F.trim(F.col(columns[-1])) != "").dropna(subset=list(numbers))
 
 

@@ -193,3 +193,13 @@ def test_stream_converts_new_files_once(spark, tmp_path):
         spark.createDataFrame([(i, "t")], "doc_id long, text string").write.mode("append").parquet(src)
         convert_new(spark, src, "doc_id long, text string", out, mark, lambda d: d.withColumn("text", F.upper("text")))
     assert sorted(r.doc_id for r in spark.read.parquet(out).collect()) == [0, 1]
+
+
+def test_tsv_lines_are_split_once(spark):
+    """Rows too short, too long, blank, no number, NaN or null go; the line is split in one place of the plan."""
+    columns = ("a", "b", "text")
+    texts = ["1\t 2 \tx", "1\t2", "1\t2\tx\ty", "1\t2\t ", "1\tz\tx", "NaN\t2\tx", None, "", "1e3\t-2.5\t w ", "\t1\tx"]
+    table = spark.createDataFrame(list(enumerate(texts)), "n int, line string")
+    got = manifest.tsv_words(table, columns, columns[:-1])
+    assert [tuple(r) for r in got.orderBy("n").collect()] == [(0, 1.0, 2.0, "x"), (8, 1000.0, -2.5, " w ")]
+    assert got.columns == ["n", *columns] and str(got._jdf.queryExecution().optimizedPlan()).count("split(") == 1
