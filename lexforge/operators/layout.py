@@ -48,20 +48,33 @@ def _kinds(rows: DataFrame, names: list[str]) -> str:
     return ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
 
 
-def start_clusters(rows: DataFrame, keys: list[str], y: str, tie: str, tolerance: float) -> DataFrame:
-    """(keys, tie, cluster): rows of a page within tolerance of the first y of their cluster."""
+def start_clusters(rows: DataFrame, keys: list[str], y: str, tie: str, tolerance: float, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, tie, carry, cluster): rows of a page within tolerance of the first y of their cluster.
 
-    def fold(pairs):
-        page, top, n = None, None, 0
-        for key, (at, name) in pairs:
-            if key != page:
-                page, top, n = key, None, 0
-            if top is None or at - top > tolerance:
-                top, n = at, n + 1
-            yield (*key, name, n)
+    The window deals and sorts the rows and marks where a page begins, where they aren't dealt so already; the fold
+    reads that mark and y alone, and all other columns pass by it as they are.
+    """
+    import pyarrow as pa
 
-    some = rows.select(*keys, F.col(y).cast("double").alias("_y"), F.col(tie))
-    return _folded(some, keys, ["_y", tie], f"{_kinds(rows, [*keys, tie])}, cluster int", fold)
+    names = [*keys, tie, *carry]
+
+    def run(batches):
+        top, n = None, 0
+        for b in batches:
+            out = []
+            starts, ys = b.column(len(names)), b.column(len(names) + 1)
+            ys = ys.to_pylist() if ys.null_count else ys.to_numpy().tolist()
+            for place, at in zip(starts.to_numpy().tolist(), ys, strict=True):
+                if place == 1:
+                    top, n = None, 0
+                if top is None or at - top > tolerance:
+                    top, n = at, n + 1
+                out.append(n)
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(names)], pa.array(out, pa.int32())], names=[*names, "cluster"])
+
+    some = rows.select(*names, F.col(y).cast("double").alias("_y"))
+    placed = some.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy("_y", tie)))
+    return placed.select(*names, "_place", "_y").mapInArrow(run, f"{_kinds(rows, names)}, cluster int")
 
 
 def merged_boxes(boxes: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
@@ -86,15 +99,17 @@ def merged_boxes(boxes: DataFrame, keys: list[str], tolerance: float) -> DataFra
     return _folded(some, keys, ["top", "_right", "bottom", "x1", "text"], f"{_kinds(boxes, keys)}, top double, bottom double, x0 double, x1 double, text string", fold)
 
 
-def notes_at_rows(notes: DataFrame, rows: DataFrame, keys: list[str], slack: float = 4) -> DataFrame:
+def notes_at_rows(notes: DataFrame, rows: DataFrame, keys: list[str], slack: float = 4, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each note with the first row at or below note_y - slack (null: the page's end), by one sort and no pairs.
 
-    The sort runs up the page, so the window takes the last row met and its frame only ever grows.
+    The sort runs up the page, so the window takes the last row met and its frame only ever grows. carry: columns of
+    both; with them the rows stay too (side 1, notes being side 0), so neither is joined to what it was placed by.
     """
-    both = notes.select(*keys, (F.col("note_y") - slack).alias("y"), F.lit(0).alias("side"), "note_id", F.lit(None).cast("double").alias("row_y"))
-    both = both.unionByName(rows.select(*keys, F.col("row_y").alias("y"), F.lit(1).alias("side"), F.lit(None).cast(notes.schema["note_id"].dataType).alias("note_id"), F.col("row_y").cast("double").alias("row_y")))
+    both = notes.select(*keys, (F.col("note_y") - slack).alias("y"), F.lit(0).alias("side"), "note_id", F.lit(None).cast("double").alias("row_y"), *carry)
+    both = both.unionByName(rows.select(*keys, F.col("row_y").alias("y"), F.lit(1).alias("side"), F.lit(None).cast(notes.schema["note_id"].dataType).alias("note_id"), F.col("row_y").cast("double").alias("row_y"), *carry))
     ahead = Window.partitionBy(*keys).orderBy(F.col("y").desc(), F.col("side").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("at", F.last("row_y", ignorenulls=True).over(ahead)).filter("side = 0").select(*keys, "note_id", "at")
+    placed = both.withColumn("at", F.last("row_y", ignorenulls=True).over(ahead))
+    return placed.select(*keys, "side", "at", *carry) if carry else placed.filter("side = 0").select(*keys, "note_id", "at")
 
 
 def commonest(rows: DataFrame, keys: list[str], value: str, pos: str) -> DataFrame:
@@ -104,6 +119,14 @@ def commonest(rows: DataFrame, keys: list[str], value: str, pos: str) -> DataFra
     return counts.withColumn("_r", F.row_number().over(by)).filter("_r = 1").drop("_r", "first")
 
 
+def with_commonest(rows: DataFrame, keys: list[str], value: str, pos: str, name: str) -> DataFrame:
+    """All rows with what commonest() gives for their key as column name: dealt by windows, and not joined."""
+    alike = Window.partitionBy(*keys, value)
+    counted = rows.withColumns({"_n": F.count("*").over(alike), "_first": F.min(pos).over(alike)})
+    by = Window.partitionBy(*keys).orderBy(F.col("_n").desc(), "_first", value)
+    return counted.withColumn(name, F.first(value).over(by)).drop("_n", "_first")
+
+
 def row_text(words: DataFrame, keys: list[str], x: str = "x", text: str = "text") -> DataFrame:
     """Texts of a row from right to left."""
     ordered = F.array_sort(F.collect_list(F.struct((-F.col(x)).alias("_x"), text)))
@@ -143,17 +166,20 @@ def span_lines(spans: DataFrame, keys: list[str]) -> DataFrame:
 
 def classified(lines: DataFrame, keys: list[str], width: float, low: float = 0.18) -> DataFrame:
     """Lines with column margin: smaller than the commonest size of their page and wholly within an outer zone."""
-    body = commonest(lines, keys, "size", "line").select(*keys, F.col("size").alias("_body"))
     small = F.col("size") < F.col("_body")
     out = (F.col("x1") < width * low) | (F.col("x0") > width * (1 - low))
-    return lines.join(body, keys).withColumn("margin", small & out).drop("_body")
+    known = lines
+    for k in keys:
+        known = known.filter(F.col(k).isNotNull())
+    return with_commonest(known, keys, "size", "line", "_body").withColumn("margin", small & out).drop("_body")
 
 
 def page_rows(lines: DataFrame, keys: list[str], tolerance: float = 4) -> DataFrame:
     """(keys, row, y, text): body lines as visual rows, their lines from right to left."""
     body = lines.filter("not margin")
-    placed = start_clusters(body, keys, "y0", "line", tolerance).withColumnRenamed("cluster", "row")
-    met = body.join(placed, [*keys, "line"])
+    placed = start_clusters(body, keys, "y0", "line", tolerance, ("x0", "y0", "text")).withColumnRenamed("cluster", "row")
+    # dealt by page, as all that follows needs it
+    met = placed.filter("line is not null").repartition(*keys)
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("x0")).alias("x"), "y0", "line", "text")))
     return met.groupBy(*keys, "row").agg(F.min("y0").alias("y"), F.array_join(F.transform(ordered, lambda w: w["text"]), " ").alias("text"))
 
@@ -172,11 +198,10 @@ def page_markdown(lines: DataFrame, key: str = "doc_id", page: str = "page", gap
     """
     keys = [key, page]
     rows, notes = page_rows(lines, keys), page_notes(lines, keys)
-    at = notes_at_rows(notes, rows.withColumnRenamed("y", "row_y"), keys)
-    end = F.lit(float("inf"))
-    items = rows.select(*keys, F.col("y").alias("at"), F.lit(1).alias("kind"), F.col("y").alias("own"), "text")
-    placed = notes.join(at, [*keys, "note_id"]).select(*keys, F.coalesce("at", end).alias("at"), F.lit(0).alias("kind"), F.col("note_y").alias("own"), F.concat(F.lit("> *"), F.trim("text"), F.lit("*")).alias("text"))
-    items = items.unionByName(placed)
+    met = notes_at_rows(notes.withColumn("own", F.col("note_y")), rows.withColumn("own", F.col("y")).withColumnRenamed("y", "row_y"), keys, carry=("own", "text"))
+    end, is_row = F.lit(float("inf")), F.col("side") == 1
+    shown = F.when(is_row, F.col("text")).otherwise(F.concat(F.lit("> *"), F.trim("text"), F.lit("*")))
+    items = met.select(*keys, F.when(is_row, F.col("own")).otherwise(F.coalesce("at", end)).alias("at"), F.col("side").alias("kind"), "own", shown.alias("text"))
     by = Window.partitionBy(*keys).orderBy("at", "kind", "own", "text")
     before = F.lag("kind").over(by)
     last = F.col("at") == end

@@ -172,3 +172,21 @@ def test_lines_are_searched_once_for_each_use(spark):
     linked = lines.section_links(lines.section_anchors(lines.explode_lines(docs)))
     plan = linked._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("posexplode(") == 3 and not [p for p in plan.split("\n") if "Filter" in p and "RLIKE" in p]
+
+
+def test_pages_whose_line_numbers_repeat_or_are_null(spark):
+    """A line number that two lines share shows each once, as by hand; lines without a page or a number go."""
+    rng = random.Random(4)
+    docs = {d: [(rng.choice([1, 2]), rng.randint(1, 6), float(rng.randint(0, 60)), float(x := rng.choice([5, 60, 300, 520])), float(x + 30), rng.choice([8.0, 10.0, 10.0]), f"t{d}-{n}") for n in range(rng.randint(2, 12))] for d in range(40)}
+    rows = [(d, *r) for d, some in docs.items() for r in some] + [(0, None, 1, 1.0, 60.0, 90.0, 10.0, "no page"), (None, 1, 1, 1.0, 60.0, 90.0, 10.0, "no document")]
+    table = spark.createDataFrame(rows, "doc_id long, page int, line int, y0 double, x0 double, x1 double, size double, text string").repartition(3)
+    got = {r.doc_id: r.text for r in layout.page_markdown(layout.classified(table, ["doc_id", "page"], 600.0)).collect()}
+    words = lambda text: sorted(w.strip(">*") for w in text.split() if w.strip(">*"))
+    assert {d: words(text) for d, text in got.items()} == {d: sorted(r[6] for r in some) for d, some in docs.items()}
+
+
+def test_pages_are_dealt_once_before_and_once_after_the_fold(spark):
+    """No line is joined to what was found about it, whatever the size; the shuffles of one use of lines and notes."""
+    table = spark.createDataFrame([(1, 1, 1, 1.0, 60.0, 90.0, 10.0, "a")], "doc_id long, page int, line int, y0 double, x0 double, x1 double, size double, text string")
+    plan = layout.page_markdown(layout.classified(table, ["doc_id", "page"], 600.0))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("MapInArrow") == 1
